@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,10 +43,34 @@ def letters_only(text: Column) -> Column:
     return F.regexp_replace(text, r"[^\p{L}]", "")
 
 
+def _one_decimal(n: Column, unit: int) -> Column:
+    """``n / unit`` with one decimal, rounded from the exact binary value of the quotient.
+
+    Only a quotient halfway between two decimals depends on its binary value:
+    its fraction is compared with the nearest double of each halfway point, and
+    when they are the same double, that double's own error decides.
+    """
+    quotient = n / F.lit(float(unit))
+    tenth = unit // 10
+    down = F.floor(n / tenth)
+    fraction = quotient - F.floor(quotient)
+    up = F.lit(False)
+    for digit in range(10):
+        halfway = float(f"0.{digit}5")
+        error = Decimal(halfway) - Decimal(f"0.{digit}5")
+        at = error > 0 or (error == 0 and digit % 2 == 1)
+        above = (fraction > halfway) | ((fraction == halfway) & F.lit(at))
+        up = F.when(down % 10 == digit, above).otherwise(up)
+    halved = n % tenth == tenth // 2
+    tenths = down + F.when(halved, up.cast("int")).otherwise((n % tenth > tenth // 2).cast("int"))
+    return F.concat(F.floor(tenths / 10).cast("string"), F.lit("."), (tenths % 10).cast("string"))
+
+
 def humanise(n: Column) -> Column:
+    """A count as text: above a million ``1.5M``, above a thousand ``1.5K``, else as it is."""
     return (
-        F.when(n > 1_000_000, F.format_string("%.1fM", n / F.lit(1_000_000.0)))
-        .when(n > 1_000, F.format_string("%.1fK", n / F.lit(1_000.0)))
+        F.when(n > 1_000_000, F.concat(_one_decimal(n, 1_000_000), F.lit("M")))
+        .when(n > 1_000, F.concat(_one_decimal(n, 1_000), F.lit("K")))
         .otherwise(n.cast("string"))
     )
 

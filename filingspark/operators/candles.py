@@ -90,6 +90,7 @@ def candles_around(
     until: int,
     fields: Sequence[str],
     event_id: str = "id",
+    base: DataFrame | None = None,
 ) -> DataFrame:
     """Each event with ``window``: its ticker's candles in ``(at + after, at + until]``, by time.
 
@@ -99,19 +100,27 @@ def candles_around(
     per ticker and second, so a gathered list is bounded by two range lengths in
     seconds however large the table is, and only buckets with an event are
     gathered. Events of a hot ticker and bucket are spread by ``spread_join``.
+
+    The events are read twice, for their buckets and for the join. When they are
+    costly to make, pass ``base``: a table that holds at least their tickers and
+    times, from which the buckets and their sizes are taken instead.
     """
     width = until - after
-    bucketed = events.withColumn("_bucket", F.floor((F.col(at) + after) / width))
-    wanted = bucketed.select("ticker", "_bucket").where("ticker IS NOT NULL").distinct()
+    bucket = F.floor((F.col(at) + after) / width).alias("_bucket")
+    bucketed = events.select(*events.columns, bucket)
+    sizes = (
+        (events if base is None else base).where(F.col("ticker").isNotNull())
+        .groupBy("ticker", bucket).agg(F.count("*").alias("_n"))
+    )
     own = F.floor(F.col("datetime") / width)
     entry = F.struct("datetime", *fields)
     lists = (
         candles.select("ticker", entry.alias("_c"), F.explode(F.array(own, own - 1)).alias("_bucket"))
-        .join(wanted, ["ticker", "_bucket"], "left_semi")
+        .join(sizes, ["ticker", "_bucket"], "left_semi")
         .groupBy("ticker", "_bucket")
         .agg(F.sort_array(F.collect_list("_c")).alias("_list"))
     )
-    joined = spread_join(bucketed, lists, ["ticker", "_bucket"], "left", [event_id])
+    joined = spread_join(bucketed, lists, ["ticker", "_bucket"], "left", [event_id], counts=sizes)
     first, last = F.col(at) + after, F.col(at) + until
     near = F.filter("_list", lambda c: (c["datetime"] > first) & (c["datetime"] <= last))
     return joined.withColumn("window", F.coalesce(near, F.array().cast(lists.schema["_list"].dataType)))\

@@ -34,7 +34,9 @@ def unloaded_filings(filings: DataFrame, artifacts: DataFrame) -> DataFrame:
     )
 
 
-def screener_enrich(features: DataFrame, screener: DataFrame) -> DataFrame:
+def screener_enrich(
+    features: DataFrame, screener: DataFrame, counts: DataFrame | None = None
+) -> DataFrame:
     """Features with the screener columns of their ticker; rows without id are dropped."""
     unique = first_wins(screener, ["symbol"], ["market_cap", "country", "sector", "industry"], False)
     return spread_join(
@@ -43,6 +45,7 @@ def screener_enrich(features: DataFrame, screener: DataFrame) -> DataFrame:
         ["ticker"],
         "left",
         spread_on=["id"],
+        counts=counts,
     )
 
 

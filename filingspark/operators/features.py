@@ -28,6 +28,7 @@ def window_prices(
     delay: int = 60,
     span: int = DAY_S,
     event_id: str = "id",
+    base: DataFrame | None = None,
 ) -> DataFrame:
     """Events with the first candle after ``delay`` and the OHLC of the range.
 
@@ -35,7 +36,7 @@ def window_prices(
     candle falls into the range.
     """
     near = candles_around(
-        events, candles, at, delay, span, ["open", "high", "low", "close"], event_id
+        events, candles, at, delay, span, ["open", "high", "low", "close"], event_id, base
     )
     first, last = F.get("window", F.lit(0)), F.try_element_at("window", F.lit(-1))
     return near.select(
@@ -57,13 +58,14 @@ def price_labels(
     max_gap: int = 20 * 60,
     threshold: float = 0.5,
     event_id: str = "id",
+    base: DataFrame | None = None,
 ) -> DataFrame:
     """Three labels per event: 2 above, 0 below, 1 within the threshold, -1 not usable.
 
     An event is not usable without a candle in the range, when the first one
     comes more than ``max_gap`` seconds after it, or when that one opens at 0.
     """
-    priced = window_prices(events, candles, at, delay, span, event_id)
+    priced = window_prices(events, candles, at, delay, span, event_id, base)
     open_ = F.col("open")
     usable = F.coalesce((F.col("open_at") - F.col(at) <= max_gap) & (open_ != 0), F.lit(False))
     sources = dict(zip(LABELS, ("high", "close", "low")))
@@ -93,12 +95,13 @@ def volume_trend(
     short: int = 300,
     long: int = 3600,
     event_id: str = "id",
+    base: DataFrame | None = None,
 ) -> DataFrame:
     """Median volume of the last ``short`` over the last ``long`` seconds.
 
     NULL when either range is empty or the long median is 0.
     """
-    near = candles_around(events, candles, at, -long, 0, ["volume"], event_id)
+    near = candles_around(events, candles, at, -long, 0, ["volume"], event_id, base)
     recent = F.filter("window", lambda c: c["datetime"] > F.col(at) - short)
     both = [_median(F.transform(w, lambda c: c["volume"])) for w in (recent, F.col("window"))]
     return near.select(*events.columns, F.try_divide(*both).alias("volume_trend"))
@@ -117,20 +120,25 @@ def labelled_articles(
     """The feature table: one row per focused article, labels, trend, weekday, screener.
 
     Articles from ``first_time`` up to a day before the last candle of their
-    ticker take part.
+    ticker take part. Hot tickers are counted once, on the article table, for
+    all joins.
     """
     last = candles.groupBy("ticker").agg((F.max("datetime") - DAY_S).alias("_last"))
+    base = articles.where(F.col("created") >= first_time).select("ticker", "created")
+    sizes = base.where("ticker IS NOT NULL").groupBy("ticker").agg(F.count("*").alias("_n"))
     timely = spread_join(
         focused_articles(articles).where(F.col("created") >= first_time),
         last,
         ["ticker"],
         spread_on=["id"],
+        counts=sizes,
     ).where(F.col("created") <= F.col("_last"))
     once = first_wins(
-        timely.select("id", "ticker", "author", "created", "title"), ["id"], ["created", "ticker"]
+        timely.select("id", "ticker", "author", "created", "title"),
+        ["id"], ["created", "ticker"], null_keys=False,
     )
-    labels = price_labels(once, candles, max_gap=max_gap, threshold=threshold)
-    trend = volume_trend(labels, candles, short=short, long=long)
+    labels = price_labels(once, candles, max_gap=max_gap, threshold=threshold, base=base)
+    trend = volume_trend(labels, candles, short=short, long=long, base=base)
     dated = trend.withColumns(
         {
             "day_of_week": dates.day_of_week(F.col("created")),
@@ -138,7 +146,7 @@ def labelled_articles(
             "ticker": F.coalesce("ticker", F.lit("")),
         }
     )
-    return screener_enrich(dated, screener)
+    return screener_enrich(dated, screener, sizes)
 
 
 def group_split(df: DataFrame, key: str, seed: str = "0", percent: int = 80) -> DataFrame:

@@ -15,8 +15,24 @@ def _concept(taxonomy: str, name: str) -> Column:
     return F.col("facts").getItem(taxonomy).getItem(name)["units"]
 
 
+def unnest(df: DataFrame, leading: Sequence[str], entries: Column) -> DataFrame:
+    """One row per struct in the array ``entries``, its fields next to ``leading``.
+
+    The outer form with a check of the position keeps the optimizer from adding
+    a size filter, which would be pushed below and parse the JSON a second time.
+    """
+    rows = df.select(*leading, F.posexplode_outer(entries).alias("_pos", "_entry"))
+    return rows.where("_pos IS NOT NULL").select(*leading, "_entry.*")
+
+
+def unnest_map(df: DataFrame, leading: Sequence[str], entries: Column, key: str, value: str) -> DataFrame:
+    """One row per entry of a map; see ``unnest`` for the outer form."""
+    rows = df.select(*leading, F.explode_outer(entries).alias(key, value))
+    return rows.where(F.col(key).isNotNull())
+
+
 def _observations(df: DataFrame, leading: Sequence[str], observations: Column) -> DataFrame:
-    rows = df.select(*leading, F.inline(observations))
+    rows = unnest(df, leading, observations)
     return rows.withColumns(
         {
             "val": clean.safe_long(F.col("val")),
@@ -51,9 +67,10 @@ def accounting_facts(
 
     ``units`` keeps, per concept, only the first listed unit that is present.
     """
-    by_taxonomy = facts.select("cik", F.explode("facts").alias("taxonomy", "concepts"))
-    by_type = by_taxonomy.where(F.col("taxonomy").isin(*taxonomies)).select(
-        "cik", "taxonomy", F.explode("concepts").alias("type", "concept")
+    by_taxonomy = unnest_map(facts, ["cik"], F.col("facts"), "taxonomy", "concepts")
+    by_type = unnest_map(
+        by_taxonomy.where(F.col("taxonomy").isin(*taxonomies)),
+        ["cik", "taxonomy"], F.col("concepts"), "type", "concept",
     )
     per_unit = F.col("concept.units")
     if units is not None:
@@ -62,14 +79,15 @@ def accounting_facts(
             F.lit(0),
         )
         per_unit = F.map_filter(per_unit, lambda name, _: name == kept)
-    by_unit = by_type.select("cik", "taxonomy", "type", F.explode(per_unit).alias("unit", "obs"))
-    return _observations(by_unit, ["cik", "taxonomy", "type", "unit"], F.col("obs"))
+    leading = ["cik", "taxonomy", "type"]
+    by_unit = unnest_map(by_type, leading, per_unit, "unit", "obs")
+    return _observations(by_unit, [*leading, "unit"], F.col("obs"))
 
 
 def filings(submissions: DataFrame) -> DataFrame:
     """One row per filing from the parallel arrays of ``filings.recent``."""
     arrays = [F.col(f"filings.recent.{c}") for c in schemas.FILING_COLUMNS]
-    rows = submissions.select("cik", F.inline(F.arrays_zip(*arrays)))
+    rows = unnest(submissions, ["cik"], F.arrays_zip(*arrays))
     return rows.withColumns(
         {
             "filingDate": F.col("filingDate").try_cast("date"),
@@ -90,7 +108,7 @@ def addresses(submissions: DataFrame) -> DataFrame:
         )
         for kind in ("mailing", "business")
     ]
-    return submissions.select("cik", F.inline(F.array(*kinds)))
+    return unnest(submissions, ["cik"], F.array(*kinds))
 
 
 def company_meta(submissions: DataFrame) -> DataFrame:

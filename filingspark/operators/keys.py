@@ -87,7 +87,8 @@ def spread_join(
     in ``big`` are spread over as many salts as they need by a hash of
     ``spread_on``, and only the matching rows of ``small`` are repeated. The
     broadcast list holds at most ``max_hot`` keys; any key beyond that has less
-    than ``1/max_hot`` of the rows. Rows with a NULL key cannot match and are
+    than ``1/max_hot`` of the rows. Pass ``counts`` (the keys and ``_n``) when
+    ``big`` is costly to make: a count over a larger table serves as well. Rows with a NULL key cannot match and are
     spread as well, so an outer join does not pile them up in one task.
     """
     keys = list(keys)

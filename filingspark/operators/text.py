@@ -216,14 +216,15 @@ def bm25(df: DataFrame, key: str, text: str, query: str, k1: float = 1.2, b: flo
     mean length, rows per word) are aggregated, into one row.
     """
     terms = query_terms(query)
+
+    def occurrences(term: str) -> Column:
+        return F.size(F.filter("_w", lambda w: w == term))
+
     words = df.select(key, tokens(F.col(text)).alias("_w"))
     counts = words.select(
         key,
         F.size("_w").alias("_len"),
-        *[
-            F.size(F.filter("_w", lambda w, t=t: w == t)).alias(f"_tf{i}")
-            for i, t in enumerate(terms)
-        ],
+        *[occurrences(term).alias(f"_tf{i}") for i, term in enumerate(terms)],
     )
     stats = counts.agg(
         F.struct(

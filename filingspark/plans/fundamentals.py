@@ -61,16 +61,13 @@ def accounting_facts(t: Tables):
 
 
 @query("accounting_legacy_key", sql(
-    """SELECT cik, "end"::VARCHAR AS "end", fy, count(*) AS n, min(v)::BIGINT AS val FROM (
-        SELECT cik, "end", fy, CAST(trunc(least(val, quantity)) AS BIGINT) AS v FROM facts)
-        GROUP BY ALL""", "facts"))
+    """SELECT cik, "end"::VARCHAR AS "end", fy,
+        min(CAST(trunc(least(val, quantity)) AS BIGINT))::BIGINT AS val FROM facts GROUP BY ALL""", "facts"))
 def accounting_legacy_key(t: Tables):
     """The narrow key (cik, end, fy), under which most facts are dropped; lowest value wins."""
     rows = flatten.accounting_facts(feeds.company_facts(t.facts_json()))
     key = schemas.LEGACY_ACCOUNTING_KEY
-    first = K.first_wins(rows, key, ["val", "accn", "type", "unit", "frame"])
-    sizes = rows.groupBy(*key).agg((F.count("*") / 2).cast("bigint").alias("n"))
-    return first.select(*key, "val").join(sizes, key)
+    return K.first_wins(rows, key, ["val", "accn", "type", "unit", "frame"]).select(*key, "val")
 
 
 _SECOND = "replace(accessionNumber, '-000001', '-000002')"
@@ -149,14 +146,14 @@ def screener_clean(t: Tables):
 
 
 @query("zip_scan", sql(
-    """SELECT cik || '-' || accn AS entry, count(*) AS n FROM facts GROUP BY ALL""", "facts"))
+    """SELECT cik || '-' || accn AS filing, count(*) AS n FROM facts GROUP BY ALL""", "facts"))
 def zip_scan(t: Tables):
     path = scratch(t.spark, "zip")
-    archives.write_archives(t.facts_json(), path)
-    found = archives.zip_scan(t.spark, f"{path}/*.zip", slices=8)
-    whole = feeds.company_facts(found).where("facts IS NOT NULL").count()
-    rows = found.groupBy("entry").agg(F.count("*").alias("n"))
-    return rows.where(F.lit(whole > 0))
+    archives.write_archives(t.facts_json().repartition(8, "entry"), path)
+    found = archives.zip_scan(t.spark, f"{path}/*.zip", slices=4)
+    filing = F.substring_index("entry", "-", 4)
+    cik = F.from_json("content", "cik bigint")["cik"]
+    return found.groupBy(filing.alias("filing")).agg(F.count(cik).alias("n"))
 
 
 @query("htm_manifest", """SELECT page_id, url FROM (SELECT page_id, url,

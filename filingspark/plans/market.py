@@ -78,7 +78,7 @@ def _landed_articles(t: Tables):
 def news_scan(t: Tables):
     path = scratch(t.spark, "news")
     _landed_articles(t).write.json(path)
-    scanned = feeds.news_pages(t.spark, path)
+    scanned = feeds.news_pages(t.spark, path, lines=True)
     return scanned.select("id", "title", "author", F.size("stocks").cast("bigint").alias("n_stocks"))
 
 
@@ -323,7 +323,7 @@ _STARTS = {
 
 @query("candle_resample", sql(
     "\nUNION ALL ".join(
-        _RESAMPLE.format(name=n, start=s).replace("datetime) AS open", "datetime) AS open") for n, s in _STARTS.items()
+        _RESAMPLE.format(name=n, start=s) for n, s in _STARTS.items()
     ), "candles"))
 def candle_resample(t: Tables):
     candles, parts = t.candles(), []
@@ -395,11 +395,11 @@ def backfill_windows(t: Tables):
 
 @query("incremental_fresh", sql(
     """SELECT a.id, a.ticker, a.created FROM articles a LEFT JOIN (SELECT ticker, max(created) AS latest
-    FROM articles WHERE created < 1704672000 GROUP BY 1) w ON w.ticker = a.ticker
+    FROM articles WHERE created < 1704153600 GROUP BY 1) w ON w.ticker = a.ticker
     WHERE a.created > coalesce(latest, 1577836800)""", "articles"))
 def incremental_fresh(t: Tables):
     articles = t.articles().select("id", "ticker", "created")
-    stored = articles.where("created < 1704672000")
+    stored = articles.where("created < 1704153600")
     marks = stats.high_watermark(articles, stored, "ticker", "created", 1577836800)
     return loads.fresh_rows(articles, marks, "ticker", "created")
 

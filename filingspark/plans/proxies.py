@@ -140,9 +140,8 @@ class Tables:
             F.col("cik").alias("entityName"),
             F.create_map(F.lit("dei"), dei, F.lit("us-gaap"), gaap).alias("facts"),
         )
-        return self.facts().select(
-            F.concat_ws("-", "cik", "accn").alias("entry"), F.to_json(body).alias("content")
-        )
+        objects = self.facts().select("cik", "accn", F.to_json(body).alias("content"))
+        return objects.select(F.concat_ws("-", "cik", "accn", F.md5("content")).alias("entry"), "content")
 
     def submissions_json(self) -> DataFrame:
         """One submissions object per order, its filings listed as parallel arrays of two."""

@@ -17,8 +17,8 @@ _FACT_KEY = ["cik", "accn", "fy", "form"]
 def _land(t: Tables) -> str:
     """Archive, scan and land the company objects as a stream source."""
     zipped, landed = scratch(t.spark, "zip"), scratch(t.spark, "landed")
-    archives.write_archives(t.facts_json(), zipped)
-    loads.land(archives.zip_scan(t.spark, f"{zipped}/*.zip", slices=8), landed, chunks=4)
+    archives.write_archives(t.facts_json().repartition(8, "entry"), zipped)
+    loads.land(archives.zip_scan(t.spark, f"{zipped}/*.zip", slices=4), landed, chunks=4)
     return landed
 
 

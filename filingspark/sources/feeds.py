@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from filingspark import schemas
 from filingspark.functions import clean, dates
+from filingspark.operators.flatten import unnest
 
 
 def _parsed(df: DataFrame, content: str, schema: str) -> DataFrame:
@@ -27,10 +28,7 @@ def submissions(df: DataFrame, content: str = "content") -> DataFrame:
 def ticker_list(df: DataFrame, content: str = "content") -> DataFrame:
     """The values of a ``{"0": {cik_str, ticker, title}}`` object, cik padded."""
     values = F.map_values(F.from_json(content, schemas.TICKER_LIST))
-    return (
-        df.select(F.inline(values))
-        .withColumn("cik_str", clean.pad_cik(F.col("cik_str")))
-    )
+    return unnest(df, [], values).withColumn("cik_str", clean.pad_cik(F.col("cik_str")))
 
 
 def screener_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -49,9 +47,9 @@ def screener(df: DataFrame) -> DataFrame:
     )
 
 
-def news_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Landed article pages: a JSON list of articles, or one article per line."""
-    return spark.read.schema(schemas.ARTICLE).json(path, multiLine=True)
+def news_pages(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Landed article pages: a JSON list per file, or with ``lines`` one article per line."""
+    return spark.read.schema(schemas.ARTICLE).json(path, multiLine=not lines)
 
 
 def news_webhooks(spark: SparkSession, path: str) -> DataFrame:
@@ -78,11 +76,9 @@ def news_webhooks(spark: SparkSession, path: str) -> DataFrame:
 def price_history(df: DataFrame, content: str = "content") -> DataFrame:
     """Candle rows in epoch seconds; an empty reply gives no rows."""
     parsed = _parsed(df, content, schemas.PRICE_HISTORY)
-    return (
-        parsed.where(~F.coalesce("empty", F.lit(False)))
-        .select(F.col("symbol").alias("ticker"), F.inline("candles"))
-        .withColumn("datetime", F.floor(F.col("datetime") / 1000).cast("bigint"))
-    )
+    kept = F.when(~F.coalesce("empty", F.lit(False)), F.col("candles"))
+    rows = unnest(parsed.withColumnRenamed("symbol", "ticker"), ["ticker"], kept)
+    return rows.withColumn("datetime", F.floor(F.col("datetime") / 1000).cast("bigint"))
 
 
 def market_hours(df: DataFrame, content: str = "content", day: str = "day") -> DataFrame:
