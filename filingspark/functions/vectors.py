@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -63,6 +65,46 @@ def tanimoto(a: Column, b: Column) -> Column:
     return F.when(either == 0, 0.0).otherwise(1 - both / either)
 
 
+def _products(rows: np.ndarray, queries: np.ndarray) -> np.ndarray:
+    return rows @ queries.T
+
+
+def _cosines(rows: np.ndarray, queries: np.ndarray) -> np.ndarray:
+    lengths = np.linalg.norm(rows, axis=1)[:, None] * np.linalg.norm(queries, axis=1)[None, :]
+    out = np.full(lengths.shape, np.nan)
+    return np.divide(rows @ queries.T, lengths, out=out, where=lengths > 0)
+
+
+def _distances(rows: np.ndarray, queries: np.ndarray) -> np.ndarray:
+    return np.stack([np.linalg.norm(rows - q, axis=1) for q in queries], axis=1)
+
+
+_DENSE = {"COSINE": _cosines, "IP": _products, "L2": _distances}
+
+
+def score_all(vector: Column, queries: Sequence[Sequence[float]], metric: str = "COSINE") -> Column:
+    """``array<double>`` of one score per query vector; NULL for an undefined score.
+
+    Dense metrics are one matrix product per Arrow batch, which beats folding
+    arrays element by element; the set and bit metrics are column expressions.
+    """
+    if metric not in _DENSE:
+        return F.array(*[METRICS[metric][0](vector, constant(q)) for q in queries])
+    wanted, measure = np.array(queries, dtype=np.float64), _DENSE[metric]
+
+    @F.pandas_udf("array<double>")
+    def score(batch: pd.Series) -> pd.Series:
+        out = pd.Series([None] * len(batch), index=batch.index, dtype=object)
+        known = batch[batch.notna()]
+        if len(known):
+            found = measure(np.array(known.tolist(), dtype=np.float64), wanted)
+            rows = [[None if np.isnan(x) else float(x) for x in row] for row in found]
+            out.loc[known.index] = pd.Series(rows, index=known.index, dtype=object)
+        return out
+
+    return score(vector)
+
+
 METRICS = {
     "COSINE": (cosine, True),
     "IP": (dot, True),

@@ -82,7 +82,10 @@ def dossier(
     def section(name: str, df: DataFrame, key: str, at: Column, fields: Sequence[Column]) -> DataFrame:
         picked = df.select(key, at.cast("bigint").alias("at"), F.to_json(F.struct(*fields)).alias("item"))
         owners = ciks if key == "cik" else tickers
-        joined = spread_join(picked, owners, [key], spread_on=["at", "item"])
+        if name in ("meta", "address"):  # one row per company
+            joined = picked.join(owners, key)
+        else:
+            joined = spread_join(picked, owners, [key], spread_on=["at", "item"])
         return joined.select("cik", F.lit(name).alias("section"), "at", "item")
 
     none = F.lit(None)
@@ -111,6 +114,10 @@ def dossier(
 
 def triples_resolved(triples: DataFrame, nodes: DataFrame) -> DataFrame:
     """Triples with text and label of both ends; ``nodes`` is unique by id."""
+    sizes = {
+        end: triples.where(F.col(end).isNotNull()).groupBy(end).agg(F.count("*").alias("_n"))
+        for end in ("head_id", "tail_id")
+    }
     out = triples
     for end in ("head", "tail"):
         named = nodes.select(
@@ -118,5 +125,5 @@ def triples_resolved(triples: DataFrame, nodes: DataFrame) -> DataFrame:
             F.col("text").alias(f"{end}_text"),
             F.col("label").alias(f"{end}_label"),
         )
-        out = spread_join(out, named, [f"{end}_id"])
+        out = spread_join(out, named, [f"{end}_id"], counts=sizes[f"{end}_id"])
     return out

@@ -13,35 +13,40 @@ def _all_set(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
-def _ordering(order: Sequence[str]) -> Column:
-    return F.struct(*[F.col(c) for c in order])
+def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str], last: bool) -> DataFrame:
+    """One row per key by an aggregate over ``(order, other columns)``.
+
+    Equal orders are decided by the other columns, so the result does not depend
+    on the arrival of rows; only rows with a map column, which has no order, are
+    chosen by ``order`` alone.
+    """
+    rest = [c for c in df.columns if c not in {*keys, *order}]
+    row = F.struct(*[c for c in [*order, *rest] if c not in keys] or [F.lit(0).alias("_")])
+    if any("map<" in kind for name, kind in df.dtypes if name in rest):
+        chosen = (F.max_by if last else F.min_by)(row, F.struct(*order))
+    else:
+        chosen = (F.max if last else F.min)(row)
+    picked = df.groupBy(*keys).agg(chosen.alias("_row"))
+    return picked.select(*[F.col(c if c in keys else f"_row.{c}") for c in df.columns])
 
 
 def first_wins(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], null_keys: bool = True
 ) -> DataFrame:
-    """One row per key: the lowest by ``order``, which must be total within a key.
+    """One row per key: the lowest by ``order``.
 
     Written as an aggregate, so each map task reduces its share of a hot key to
     one row before the shuffle. Rows with a NULL in the key never conflict and
     all stay; pass ``null_keys=False`` when the key columns cannot be NULL.
+    Select the needed columns first: the chosen row is carried whole.
     """
-    keyed = df.where(_all_set(keys)) if null_keys else df
-    picked = (
-        keyed.groupBy(*keys)
-        .agg(F.min_by(F.struct(*df.columns), _ordering(order)).alias("_row"))
-        .select("_row.*")
-    )
+    picked = _pick(df.where(_all_set(keys)) if null_keys else df, keys, order, last=False)
     return picked.unionByName(df.where(~_all_set(keys))) if null_keys else picked
 
 
 def last_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the highest by ``order``. NULL is a key value like any other."""
-    return (
-        df.groupBy(*keys)
-        .agg(F.max_by(F.struct(*df.columns), _ordering(order)).alias("_row"))
-        .select("_row.*")
-    )
+    return _pick(df, keys, order, last=True)
 
 
 def insert_ignore(
@@ -87,28 +92,30 @@ def spread_join(
     in ``big`` are spread over as many salts as they need by a hash of
     ``spread_on``, and only the matching rows of ``small`` are repeated. The
     broadcast list holds at most ``max_hot`` keys; any key beyond that has less
-    than ``1/max_hot`` of the rows. Pass ``counts`` (the keys and ``_n``) when
-    ``big`` is costly to make: a count over a larger table serves as well. Rows with a NULL key cannot match and are
+    than ``1/max_hot`` of the rows. Pass ``counts`` (some or all keys and ``_n``)
+    when ``big`` is costly to make: a count over a larger table, or by fewer keys,
+    serves as well. Rows with a NULL key cannot match and are
     spread as well, so an outer join does not pile them up in one task.
     """
     keys = list(keys)
     spread_on = list(spread_on) or [n for n, t in big.dtypes if "map<" not in t]
     if counts is None:
         counts = big.where(_all_set(keys)).groupBy(*keys).agg(F.count("*").alias("_n"))
+    counted = [k for k in keys if k in counts.columns]
     hot = F.broadcast(
         counts.where(F.col("_n") > rows_per_task)
-        .orderBy(F.desc("_n"), *keys)
+        .orderBy(F.desc("_n"), *counted)
         .limit(max_hot)
-        .select(*keys, F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_salts"))
+        .select(*counted, F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_salts"))
     )
     digest = F.xxhash64(*spread_on)
-    left = big.join(hot, keys, "left").withColumn(
+    left = big.join(hot, counted, "left").withColumn(
         "_salt",
         F.when(~_all_set(keys), F.pmod(digest, F.lit(1024)))
         .otherwise(F.pmod(digest, F.coalesce("_salts", F.lit(1))))
         .cast("int"),
     )
-    right = small.join(hot, keys, "left").withColumn(
+    right = small.join(hot, counted, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
     )
     return left.drop("_salts").join(right.drop("_salts"), [*keys, "_salt"], how).drop("_salt")

@@ -13,7 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from filingspark.functions.vectors import METRICS, constant
+from filingspark.functions.vectors import METRICS, score_all
 from filingspark.operators.keys import spread_join
 from filingspark.session import checkpoint
 
@@ -26,13 +26,10 @@ def scores(
     vectors: DataFrame, vector: str, queries: Mapping[str, Sequence[float]], metric: str = "COSINE"
 ) -> DataFrame:
     """Every row with the score of each query vector: adds ``query`` and ``score``."""
-    score, _ = METRICS[metric]
-    each = [
-        F.struct(F.lit(n).alias("query"), score(F.col(vector), constant(q)).alias("score"))
-        for n, q in queries.items()
-    ]
     columns = [c for c in vectors.columns if c != vector]
-    return vectors.select(*columns, F.inline(F.array(*each)))
+    found = score_all(F.col(vector), list(queries.values()), metric)
+    named = F.arrays_zip(F.array(*[F.lit(n) for n in queries]).alias("query"), found.alias("score"))
+    return vectors.select(*columns, F.inline(named))
 
 
 def knn(

@@ -23,6 +23,7 @@ FIRST_BOLD = r"(?is)<b(?:\s[^>]*)?>(.*)$"
 _CUT = "\u0001"
 _WORD = re.compile(r"[^\W_]+")
 CHUNK_SIZE = 768
+SPANS_PER_BATCH = 50_000
 SEPARATORS = ("\n\n", "\n", " ", "")
 
 
@@ -191,24 +192,22 @@ def text_match(
             return F.array_contains(words, term)
         return F.exists(words, lambda w: F.levenshtein(w, F.lit(term), edits) >= 0)
 
-    held = df.withColumns({f"_words_{f}": tokens(F.col(f)) for f in fields})
-    per_field = [
-        reduce(lambda a, b: a + b, [F.coalesce(found(F.col(f"_words_{f}"), t), F.lit(False)).cast("int") for t in terms])
-        for f in fields
-    ]
-    best = per_field[0] if len(per_field) == 1 else F.greatest(*per_field)
+    def hits(words: Column) -> Column:
+        return reduce(lambda a, b: a + b, [found(words, t).cast("int") for t in terms])
+
+    per_field = F.transform(F.array(*[tokens(F.col(f)) for f in fields]), hits)
     needed = len(terms) if operator == "and" else 1
-    return (
-        held.withColumn("matched", best)
-        .where(F.col("matched") >= needed)
-        .drop(*[f"_words_{f}" for f in fields])
-    )
+    return df.withColumn("matched", F.array_max(per_field)).where(F.col("matched") >= needed)
 
 
 def term_match(df: DataFrame, field: str, value) -> DataFrame:
     return df.where(F.col(field) == F.lit(value))
 
 
+def _equals(term: str):
+    return lambda word: word == term
+
+
 def bm25(df: DataFrame, key: str, text: str, query: str, k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """``(key, score)`` of the rows holding a query word.
 
@@ -217,31 +216,31 @@ def bm25(df: DataFrame, key: str, text: str, query: str, k1: float = 1.2, b: flo
     """
     terms = query_terms(query)
 
-    def occurrences(term: str) -> Column:
-        return F.size(F.filter("_w", lambda w: w == term))
+    def found(words: Column) -> Column:
+        return F.struct(F.size(words).alias("len"), F.filter(words, lambda w: w.isin(*terms)).alias("hits"))
 
-    words = df.select(key, tokens(F.col(text)).alias("_w"))
-    counts = words.select(
-        key,
-        F.size("_w").alias("_len"),
-        *[occurrences(term).alias(f"_tf{i}") for i, term in enumerate(terms)],
-    )
+    def tally(doc: Column) -> Column:
+        per_term = [F.size(F.filter(doc["hits"], _equals(t))) for t in terms]
+        return F.array(doc["len"], *per_term)
+
+    listed = F.transform(F.transform(F.array(tokens(F.col(text))), found), tally)
+    counts = df.select(key, F.get(listed, F.lit(0)).alias("_c"))
+    length, tfs = F.get("_c", F.lit(0)), [F.get("_c", F.lit(i + 1)) for i in range(len(terms))]
     stats = counts.agg(
         F.struct(
             F.count("*").alias("n"),
-            F.avg("_len").alias("len"),
-            *[F.count_if(F.col(f"_tf{i}") > 0).alias(f"df{i}") for i in range(len(terms))],
+            F.avg(length).alias("len"),
+            *[F.count_if(tf > 0).alias(f"df{i}") for i, tf in enumerate(tfs)],
         )
     ).scalar()
 
     def part(i: int) -> Column:
-        tf, rows = F.col(f"_tf{i}"), stats[f"df{i}"]
+        tf, rows = tfs[i], stats[f"df{i}"]
         idf = F.ln(1 + (stats["n"] - rows + 0.5) / (rows + 0.5))
-        return idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("_len") / stats["len"]))
+        return idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * length / stats["len"]))
 
-    parts = range(len(terms))
-    any_term = reduce(lambda x, y: x | y, [F.col(f"_tf{i}") > 0 for i in parts])
-    return counts.where(any_term).select(key, reduce(lambda x, y: x + y, map(part, parts)).alias("score"))
+    some = counts.where(F.array_max(F.slice("_c", 2, len(terms))) > 0)
+    return some.select(key, reduce(lambda x, y: x + y, map(part, range(len(terms)))).alias("score"))
 
 
 def spans(df: DataFrame, key: str, text: str, max_words: int = 1) -> DataFrame:
@@ -249,14 +248,21 @@ def spans(df: DataFrame, key: str, text: str, max_words: int = 1) -> DataFrame:
     schema = f"{key} {dict(df.dtypes)[key]}, start int, end int, text string"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keys, starts, ends, found = [], [], [], []
         for batch in batches:
-            rows = []
             for k, body in zip(batch[key], batch[text]):
                 bounds = [m.span() for m in _WORD.finditer(body or "")]
-                for i, (start, _) in enumerate(bounds):
-                    for _, end in bounds[i : i + max_words]:
-                        rows.append((k, start, end, body[start:end]))
-            yield pd.DataFrame(rows, columns=[key, "start", "end", "text"])
+                for words in range(1, max_words + 1):
+                    first = [b[0] for b in bounds[: len(bounds) - words + 1]]
+                    last = [b[1] for b in bounds[words - 1 :]]
+                    starts += first
+                    ends += last
+                    found += [body[i:j] for i, j in zip(first, last)]
+                    keys += [k] * len(first)
+                if len(found) >= SPANS_PER_BATCH:
+                    yield pd.DataFrame({key: keys, "start": starts, "end": ends, "text": found})
+                    keys, starts, ends, found = [], [], [], []
+        yield pd.DataFrame({key: keys, "start": starts, "end": ends, "text": found})
 
     return df.select(key, text).mapInPandas(run, schema)
 
@@ -266,14 +272,22 @@ def mentions(
 ) -> DataFrame:
     """Occurrences of gazetteer names ``(name, label)``, case-insensitive, each with an id.
 
-    Common words that head a third of all spans are spread over tasks; the
-    gazetteer has one row per name.
+    Words are counted ahead (without making spans), and spans that begin with a
+    very common word are spread over tasks.
     """
     found = spans(df, key, text, max_words).withColumn("_name", F.lower("text"))
     names = gazetteer.select(F.lower("name").alias("_name"), "label").groupBy("_name").agg(
         F.min("label").alias("label")
     )
-    hits = spread_join(found, names, ["_name"], spread_on=[key, "start"])
+    first = F.split_part("_name", F.lit(" "), F.lit(1)).alias("_first")
+    words = df.select(F.explode(tokens(F.col(text))).alias("_first"))
+    hits = spread_join(
+        found.select("*", first),
+        names.select("*", first),
+        ["_first", "_name"],
+        spread_on=[key, "start"],
+        counts=words.groupBy("_first").agg(F.count("*").alias("_n")),
+    )
     digest = F.sha2(F.concat_ws("|", F.col(key).cast("string"), "start", "end"), 256)
     return hits.select(key, digest.alias("mention_id"), "text", "label", "start", "end")
 
@@ -288,7 +302,7 @@ def entity_pairs(found: DataFrame, df: DataFrame, key: str, text: str) -> DataFr
     )
     body = df.select(key, F.col(text).alias("_text"))
     length = F.greatest(F.col("_to") - F.col("_from"), F.lit(0))
-    return spread_join(pairs, body, [key], spread_on=["head_id"]).select(
+    return pairs.join(body, key).select(
         key, "head_id", "tail_id", F.substring("_text", F.col("_from") + 1, length).alias("snippet")
     )
 
@@ -297,11 +311,9 @@ def relation_labels(
     snippets: DataFrame, vector: str, labels: Mapping[str, Sequence[float]], threshold: float = 0.5
 ) -> DataFrame:
     """Adds the most similar label and its cosine; rows below ``threshold`` are dropped."""
-    scored = [
-        F.struct(vectors.cosine(F.col(vector), vectors.constant(v)).alias("score"), F.lit(n).alias("label"))
-        for n, v in labels.items()
-    ]
-    best = snippets.withColumn("_best", F.array_max(F.array(*scored)))
+    found = vectors.score_all(F.col(vector), list(labels.values()))
+    named = F.arrays_zip(found.alias("score"), F.array(*[F.lit(n) for n in labels]).alias("label"))
+    best = snippets.withColumn("_best", F.array_max(named))
     return (
         best.where(F.col("_best.score") >= threshold)
         .withColumns({"label": F.col("_best.label"), "score": F.col("_best.score")})

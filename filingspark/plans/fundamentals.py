@@ -177,7 +177,7 @@ _LINE_KEYS = ["l_orderkey", "l_linenumber"]
     WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')
     QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {_LINE_ORDER}) = 1""")
 def insert_ignore(t: Tables):
-    lines = t["lineitem"]
+    lines = t["lineitem"].select(*_LINE_KEYS, *_LINE_ORDER.split(", "))
     done = t["orders"].where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey"))
     target = lines.join(done, "l_orderkey", "left_semi")
     new = K.insert_ignore(target, lines, _LINE_KEYS, _LINE_ORDER.split(", "))
@@ -270,7 +270,7 @@ def filing_type_filter(t: Tables):
     regexp_replace(html, '(?is)<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>|<!--.*?-->', '', 'g'),
     '(?is)<b(?:\\s[^>]*)?>(.*)$', 1), '>\\s*[^<\\s]|^\\s*[^<\\s]')""")
 def nonempty_content(t: Tables):
-    pages = t["pages"].withColumn("clean", X.html_strings(F.col("html")))
+    pages = t.dealt("pages", "page_id").withColumn("clean", X.html_strings(F.col("html")))
     return Q.nonempty(pages, "clean").select("page_id")
 
 
@@ -376,7 +376,8 @@ def backlog(t: Tables):
 @query("keep_first", f"""SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM lineitem
     QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {_LINE_ORDER}) = 1""")
 def keep_first(t: Tables):
-    first = K.first_wins(t["lineitem"], _LINE_KEYS, _LINE_ORDER.split(", "))
+    order = _LINE_ORDER.split(", ")
+    first = K.first_wins(t["lineitem"].select(*_LINE_KEYS, *order), _LINE_KEYS, order)
     return first.select(*_LINE_KEYS, "l_partkey", "l_extendedprice")
 
 

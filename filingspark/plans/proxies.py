@@ -26,6 +26,15 @@ class Tables:
     def __getitem__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
+    def dealt(self, name: str, key: str) -> DataFrame:
+        """A table for heavy work per row, dealt out by ``key`` if it has fewer files than cores.
+
+        A table of many files is read as it is, without a shuffle.
+        """
+        df = self[name]
+        cores = self.spark.sparkContext.defaultParallelism
+        return df if len(df.inputFiles()) >= cores else df.repartition(cores, key)
+
     def candles_raw(self) -> DataFrame:
         value = F.col("value")
         return self["events"].select(
@@ -81,9 +90,10 @@ class Tables:
             F.col("title").alias("industry"),
         )
 
-    def filings(self) -> DataFrame:
+    def filings(self, how: str = "plain") -> DataFrame:
         key = F.col("o_orderkey").cast("string")
-        return self["orders"].select(
+        orders = self.dealt("orders", "o_orderkey") if how == "dealt" else self["orders"]
+        return orders.select(
             F.lpad(F.col("o_custkey").cast("string"), 10, "0").alias("cik"),
             F.concat(F.lpad(key, 10, "0"), F.lit("-24-000001")).alias("accessionNumber"),
             F.col("o_orderpriority").alias("form"),
@@ -93,7 +103,7 @@ class Tables:
         )
 
     def facts(self) -> DataFrame:
-        rows = self["lineitem"].join(
+        rows = self.dealt("lineitem", "l_orderkey").join(
             self["orders"].select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate"),
             "l_orderkey",
         )
@@ -146,7 +156,7 @@ class Tables:
     def submissions_json(self) -> DataFrame:
         """One submissions object per order, its filings listed as parallel arrays of two."""
         c = self.companies()
-        f = self.filings().withColumnRenamed("cik", "f_cik")
+        f = self.filings("dealt").withColumnRenamed("cik", "f_cik")
         joined = f.join(c, f["f_cik"] == c["cik"])
 
         def both(col: str | Column, second: Column | None = None) -> Column:

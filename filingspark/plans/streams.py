@@ -18,12 +18,12 @@ def _land(t: Tables) -> str:
     """Archive, scan and land the company objects as a stream source."""
     zipped, landed = scratch(t.spark, "zip"), scratch(t.spark, "landed")
     archives.write_archives(t.facts_json().repartition(8, "entry"), zipped)
-    loads.land(archives.zip_scan(t.spark, f"{zipped}/*.zip", slices=4), landed, chunks=4)
+    loads.land(archives.zip_scan(t.spark, f"{zipped}/*.zip", slices=4), landed, chunks=16)
     return landed
 
 
 def _load_shares(t: Tables, landed: str, target: str, state: str) -> None:
-    stream = loads.read_landed(t.spark, landed, "archive string, entry string, content string", 2)
+    stream = loads.read_landed(t.spark, landed, "archive string, entry string, content string", 8)
 
     def shares(batch):
         return flatten.shares_outstanding(feeds.company_facts(batch)).select(*_FACT_KEY, "val", "end")
@@ -35,7 +35,7 @@ def _load_shares(t: Tables, landed: str, target: str, state: str) -> None:
 @query("stream_land", sql("SELECT count(*) AS n FROM facts", "facts"))
 def stream_land(t: Tables):
     landed, target = _land(t), scratch(t.spark, "copied")
-    stream = loads.read_landed(t.spark, landed, "archive string, entry string, content string", 2)
+    stream = loads.read_landed(t.spark, landed, "archive string, entry string, content string", 8)
     loads.run_append(stream.select("entry"), target, scratch(t.spark, "state"))
     return t.spark.read.parquet(target).agg(F.count("*").alias("n"))
 
@@ -53,7 +53,7 @@ def restart(t: Tables):
     landed, target = _land(t), scratch(t.spark, "shares")
     _load_shares(t, landed, target, scratch(t.spark, "state"))
     first = t.spark.read.parquet(target).count()
-    stream = loads.read_landed(t.spark, landed, "archive string, entry string, content string", 2)
+    stream = loads.read_landed(t.spark, landed, "archive string, entry string, content string", 8)
 
     def again(batch, batch_id):
         rows = flatten.shares_outstanding(feeds.company_facts(batch)).select(*_FACT_KEY, "val", "end")

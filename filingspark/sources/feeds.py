@@ -10,8 +10,16 @@ from filingspark.functions import clean, dates
 from filingspark.operators.flatten import unnest
 
 
-def _parsed(df: DataFrame, content: str, schema: str) -> DataFrame:
-    return df.select(F.from_json(content, schema).alias("_json")).select("_json.*")
+def _parsed(df: DataFrame, content: str, schema: str, required: str | None = None) -> DataFrame:
+    """The object in each row of text, as columns.
+
+    The object passes through a one-element list. That keeps later filters and
+    projections above the parser, which would otherwise run once for each.
+    """
+    parsed = F.array(F.from_json(content, schema))
+    if required is not None:
+        parsed = F.filter(parsed, lambda o: o[required].isNotNull())
+    return df.select(F.inline(parsed))
 
 
 def company_facts(df: DataFrame, content: str = "content") -> DataFrame:
@@ -21,7 +29,7 @@ def company_facts(df: DataFrame, content: str = "content") -> DataFrame:
 
 def submissions(df: DataFrame, content: str = "content") -> DataFrame:
     """One row per company; overflow objects, which carry no cik, drop out."""
-    parsed = _parsed(df, content, schemas.SUBMISSIONS).where(F.col("cik").isNotNull())
+    parsed = _parsed(df, content, schemas.SUBMISSIONS, required="cik")
     return parsed.withColumn("cik", clean.pad_cik(F.col("cik")))
 
 
