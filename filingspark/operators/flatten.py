@@ -85,8 +85,13 @@ def accounting_facts(
 
 
 def filings(submissions: DataFrame) -> DataFrame:
-    """One row per filing from the parallel arrays of ``filings.recent``."""
-    arrays = [F.col(f"filings.recent.{c}") for c in schemas.FILING_COLUMNS]
+    """One row per filing from the parallel arrays of ``filings.recent``; a missing array is NULLs."""
+    arrays = [
+        F.coalesce(
+            f"filings.recent.{c}", F.array().cast(f"array<{schemas.FILING_TYPES.get(c, 'string')}>")
+        ).alias(c)
+        for c in schemas.FILING_COLUMNS
+    ]
     rows = unnest(submissions, ["cik"], F.arrays_zip(*arrays))
     return rows.withColumns(
         {

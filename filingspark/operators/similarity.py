@@ -12,6 +12,7 @@ from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from filingspark.functions.vectors import METRICS, score_all
 from filingspark.operators.keys import spread_join
@@ -81,7 +82,8 @@ def embed_with(
             vectors = [[float(x) for x in v] for v in encode(batch[text].tolist())]
             yield batch.assign(embedding=pd.Series(vectors, index=batch.index, dtype=object))
 
-    return df.mapInPandas(run, df.schema.add("embedding", "array<float>"))
+    schema = T.StructType([*df.schema.fields, T.StructField("embedding", T.ArrayType(T.FloatType()))])
+    return df.mapInPandas(run, schema)
 
 
 def embed_hashed(df: DataFrame, text: str, dimensions: int = 256) -> DataFrame:

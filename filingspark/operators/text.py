@@ -29,7 +29,7 @@ SEPARATORS = ("\n\n", "\n", " ", "")
 
 def html_strings(html: Column) -> Column:
     """Text nodes after the first bold tag, blank ones dropped; no bold tag, no strings."""
-    body = F.regexp_extract(F.regexp_replace(html, INVISIBLE, ""), FIRST_BOLD, 1)
+    body = F.regexp_extract(F.regexp_replace(html, INVISIBLE, "<>"), FIRST_BOLD, 1)
     nodes = F.split(F.regexp_replace(body, "<[^>]*>", _CUT), _CUT)
 
     def decode(node: Column) -> Column:
@@ -262,7 +262,8 @@ def spans(df: DataFrame, key: str, text: str, max_words: int = 1) -> DataFrame:
                 if len(found) >= SPANS_PER_BATCH:
                     yield pd.DataFrame({key: keys, "start": starts, "end": ends, "text": found})
                     keys, starts, ends, found = [], [], [], []
-        yield pd.DataFrame({key: keys, "start": starts, "end": ends, "text": found})
+        if found:
+            yield pd.DataFrame({key: keys, "start": starts, "end": ends, "text": found})
 
     return df.select(key, text).mapInPandas(run, schema)
 

@@ -45,7 +45,7 @@ _SCORED = f"""SELECT query, vec_id, label, {_cosine_sql('embedding', 'qv')} AS s
 @query("html_text", r"""SELECT page_id, (row_number() OVER (PARTITION BY page_id ORDER BY i) - 1)::INTEGER AS pos, text
     FROM (SELECT page_id, generate_subscripts(nodes, 1) AS i, unnest(nodes) AS text FROM (
         SELECT page_id, list_transform(string_split(regexp_replace(regexp_extract(regexp_replace(html,
-            '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->', '', 'g'),
+            '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->', '<>', 'g'),
             '(?is)<b(?:\s[^>]*)?>(.*)$', 1), '<[^>]*>', chr(1), 'g'), chr(1)),
             lambda s: translate(replace(replace(replace(replace(replace(replace(replace(replace(replace(s,
             '&nbsp;', ' '), '&#160;', ' '), '&#8203;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'),

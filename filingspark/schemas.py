@@ -25,10 +25,10 @@ COMPANY_TEXT_COLUMNS = [
     "sicDescription", "ownerOrg", "phone", "flags",
 ]
 COMPANY_FLAG_COLUMNS = ["insiderTransactionForOwnerExists", "insiderTransactionForIssuerExists"]
-_NUMERIC_FILING = {"size": "bigint", "isXBRL": "int", "isInlineXBRL": "int"}
+FILING_TYPES = {"size": "bigint", "isXBRL": "int", "isInlineXBRL": "int"}
 _ADDRESS = "struct<" + ",".join(f"{c}:string" for c in ADDRESS_COLUMNS) + ">"
 _RECENT = "struct<" + ",".join(
-    f"{c}:array<{_NUMERIC_FILING.get(c, 'string')}>" for c in FILING_COLUMNS
+    f"{c}:array<{FILING_TYPES.get(c, 'string')}>" for c in FILING_COLUMNS
 ) + ">"
 SUBMISSIONS = ", ".join(
     ["cik string"]
