@@ -51,17 +51,19 @@ def previous_close(daily: DataFrame) -> DataFrame:
 def by_session(candles: DataFrame, sessions: DataFrame, extended: bool = False) -> DataFrame:
     """Candles inside the regular session of their day, or outside it.
 
-    ``sessions`` has one row per open day with ``start`` and ``end``. The days
-    are gathered into one small map (a row per calendar day), so candles are
-    filtered where they are instead of shuffled by day.
+    ``sessions`` holds ``is_open``, ``start`` and ``end`` per day. It is brought to
+    one row per calendar day, a few hundred a year whatever the number of
+    candles, which is what allows to broadcast it.
     """
-    day = F.floor(F.col("datetime") / 86400)
-    entry = F.struct(F.floor(F.col("start") / 86400), F.struct("start", "end"))
-    calendar = sessions.where("is_open").select(entry.alias("e")).distinct()
-    lookup = calendar.agg(F.map_from_entries(F.collect_list("e"))).scalar()
-    hours = F.try_element_at(lookup, day)
-    inside = F.coalesce(F.col("datetime").between(hours["start"], hours["end"]), F.lit(False))
-    return candles.where(~inside if extended else inside)
+    calendar = (
+        sessions.where("is_open")
+        .groupBy(F.floor(F.col("start") / 86400).alias("_day"))
+        .agg(F.min("start").alias("_start"), F.max("end").alias("_end"))
+    )
+    inside = (F.floor(F.col("datetime") / 86400) == F.col("_day")) & F.col("datetime").between(
+        F.col("_start"), F.col("_end")
+    )
+    return candles.join(F.broadcast(calendar), inside, "left_anti" if extended else "left_semi")
 
 
 def last_session(calendar: DataFrame, today) -> DataFrame:

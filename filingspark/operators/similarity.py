@@ -20,7 +20,7 @@ from filingspark.session import checkpoint
 
 TILE_ROWS = 2048
 ROWS_PER_CELL = 16_384
-MAX_CELLS = 256
+MAX_CELLS = 1024
 
 
 def scores(

@@ -200,6 +200,25 @@ def text_match(
     return df.withColumn("matched", F.array_max(per_field)).where(F.col("matched") >= needed)
 
 
+def search(df: DataFrame, query: Mapping[str, Mapping]) -> DataFrame:
+    """A one-entry query: match, match_all, match_none, term or simple_query_string."""
+    ((kind, body),) = query.items()
+    if kind == "match_all":
+        return df
+    if kind == "match_none":
+        return df.where(F.lit(False))
+    if kind == "simple_query_string":
+        return text_match(df, body["fields"], body["query"], body.get("default_operator") or "or")
+    ((field, wanted),) = body.items()
+    if kind == "term":
+        return term_match(df, field, wanted)
+    if kind == "match":
+        options = {"query": wanted} if isinstance(wanted, str) else dict(wanted)
+        zero_terms = options.pop("zero_terms_query", "none")
+        return text_match(df, [field], zero_terms=zero_terms, **options)
+    raise ValueError(f"unknown query {kind}")
+
+
 def term_match(df: DataFrame, field: str, value) -> DataFrame:
     return df.where(F.col(field) == F.lit(value))
 

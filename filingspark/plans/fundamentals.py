@@ -245,6 +245,15 @@ def table_query(t: Tables):
     return Q.table_query(t["orders"], columns, where, sort=["o_totalprice", "o_orderkey"], limit=25)
 
 
+@query("clustered_read", sql(
+    """SELECT cik, accessionNumber, form FROM filings WHERE cik IN ('0000000001', '0000000044')""", "filings"))
+def clustered_read(t: Tables):
+    path = scratch(t.spark, "clustered")
+    store.write_clustered(t.filings(), path, "cik", ["form"], buckets=8, files_per_bucket=2)
+    rows = store.read_clustered(t.spark, path, "cik", ["0000000001", "0000000044"], buckets=8)
+    return rows.select("cik", "accessionNumber", "form")
+
+
 @query("unique_values", sql("SELECT DISTINCT ticker FROM candles_raw", "candles_raw"))
 def unique_values(t: Tables):
     return Q.unique_values(t.candles_raw(), "ticker")
@@ -270,7 +279,7 @@ def filing_type_filter(t: Tables):
     regexp_replace(html, '(?is)<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>|<!--.*?-->', '', 'g'),
     '(?is)<b(?:\\s[^>]*)?>(.*)$', 1), '>\\s*[^<\\s]|^\\s*[^<\\s]')""")
 def nonempty_content(t: Tables):
-    pages = t.dealt("pages", "page_id").withColumn("clean", X.html_strings(F.col("html")))
+    pages = t.dealt("pages").withColumn("clean", X.html_strings(F.col("html")))
     return Q.nonempty(pages, "clean").select("page_id")
 
 
@@ -302,7 +311,7 @@ def resolve_company(t: Tables):
 
 
 @query("company_dossier", sql(
-    """, w AS (SELECT DISTINCT cik, ticker FROM companies WHERE contains(title, '0000001'))
+    """, w AS (SELECT DISTINCT cik, ticker FROM companies)
     SELECT cik, 'meta' AS section, NULL::BIGINT AS at, '{"cik":"' || cik || '","name":"' || title || '"}' AS item
         FROM companies SEMI JOIN w USING (cik)
     UNION ALL SELECT cik, 'address', NULL, '{"cik":"' || cik || '","city":"' || country || '"}'
@@ -318,9 +327,8 @@ def resolve_company(t: Tables):
     "companies", "articles", "candles", "filings").replace("\n, w AS", ",\nw AS"))
 def company_dossier(t: Tables):
     companies = t.companies()
-    wanted = companies.where(F.col("title").contains("0000001"))
     sections = C.dossier(
-        wanted,
+        companies,
         companies.select("cik", F.col("title").alias("name")),
         companies.select("cik", F.col("country").alias("city")),
         t.articles(),

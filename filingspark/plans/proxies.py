@@ -26,14 +26,14 @@ class Tables:
     def __getitem__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
-    def dealt(self, name: str, key: str) -> DataFrame:
-        """A table for heavy work per row, dealt out by ``key`` if it has fewer files than cores.
+    def dealt(self, name: str) -> DataFrame:
+        """A table for heavy work per row, dealt out evenly if it has fewer files than cores.
 
         A table of many files is read as it is, without a shuffle.
         """
         df = self[name]
         cores = self.spark.sparkContext.defaultParallelism
-        return df if len(df.inputFiles()) >= cores else df.repartition(cores, key)
+        return df if len(df.inputFiles()) >= cores else df.repartition(cores)
 
     def candles_raw(self) -> DataFrame:
         value = F.col("value")
@@ -92,7 +92,7 @@ class Tables:
 
     def filings(self, how: str = "plain") -> DataFrame:
         key = F.col("o_orderkey").cast("string")
-        orders = self.dealt("orders", "o_orderkey") if how == "dealt" else self["orders"]
+        orders = self.dealt("orders") if how == "dealt" else self["orders"]
         return orders.select(
             F.lpad(F.col("o_custkey").cast("string"), 10, "0").alias("cik"),
             F.concat(F.lpad(key, 10, "0"), F.lit("-24-000001")).alias("accessionNumber"),
@@ -103,7 +103,7 @@ class Tables:
         )
 
     def facts(self) -> DataFrame:
-        rows = self.dealt("lineitem", "l_orderkey").join(
+        rows = self.dealt("lineitem").join(
             self["orders"].select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate"),
             "l_orderkey",
         )

@@ -52,18 +52,18 @@ _SCORED = f"""SELECT query, vec_id, label, {_cosine_sql('embedding', 'qv')} AS s
             '&#39;', ''''), '&apos;', ''''), '&amp;', '&'), chr(160) || chr(8203), '  ')) AS nodes FROM pages))
     WHERE regexp_matches(text, '\S')""")
 def html_text(t: Tables):
-    return X.html_text(t.dealt("pages", "page_id"), "page_id", "html")
+    return X.html_text(t.dealt("pages"), "page_id", "html")
 
 
 @query("chunk_fixed", """SELECT doc_id, i::INTEGER AS chunk, substr(text, i * 768 + 1, 768) AS content
     FROM (SELECT doc_id, text, unnest(range((length(text) + 767) // 768)) AS i FROM documents)""")
 def chunk_fixed(t: Tables):
-    return X.chunk_fixed(t.dealt("documents", "doc_id"), "doc_id", "text")
+    return X.chunk_fixed(t.dealt("documents"), "doc_id", "text")
 
 
 @query("chunk_recursive")
 def chunk_recursive(t: Tables):
-    return X.chunk_recursive(t.dealt("documents", "doc_id"), "doc_id", "text", "source")
+    return X.chunk_recursive(t.dealt("documents"), "doc_id", "text", "source")
 
 
 _TOKENS = r"list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '')"
@@ -73,7 +73,7 @@ _TOKENS = r"list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), la
     list_contains(w, 'with')::INTEGER + list_contains(w, 'from')::INTEGER AS matched
     FROM (SELECT doc_id, {_TOKENS} AS w FROM documents)) WHERE matched = 3""")
 def text_match(t: Tables):
-    hits = X.text_match(t.dealt("documents", "doc_id"), ["text"], "the WITH from", "and")
+    hits = X.text_match(t.dealt("documents"), ["text"], "the WITH from", "and")
     return hits.select("doc_id", "matched")
 
 
@@ -81,14 +81,24 @@ def text_match(t: Tables):
     list_contains(w, 'avec')::INTEGER AS matched FROM (SELECT doc_id, {_TOKENS} AS w FROM documents))
     WHERE matched >= 1""")
 def text_match_any(t: Tables):
-    return X.text_match(t.dealt("documents", "doc_id"), ["text"], "nicht avec").select("doc_id", "matched")
+    return X.text_match(t.dealt("documents"), ["text"], "nicht avec").select("doc_id", "matched")
 
 
 @query("text_fuzzy", f"""SELECT doc_id, 1 AS matched FROM (SELECT doc_id, {_TOKENS} AS w FROM documents)
     WHERE len(list_filter(w, lambda x: damerau_free(x) <= 2)) > 0""".replace(
     "damerau_free(x)", "levenshtein(x, 'thorest')"))
 def text_fuzzy(t: Tables):
-    return X.text_match(t.dealt("documents", "doc_id"), ["text"], "thorest", fuzziness="AUTO").select("doc_id", "matched")
+    return X.text_match(t.dealt("documents"), ["text"], "thorest", fuzziness="AUTO").select("doc_id", "matched")
+
+
+@query("text_search", f"""SELECT doc_id, matched FROM (SELECT doc_id, greatest(
+    list_contains(w, 'nicht')::INTEGER + list_contains(w, 'src3')::INTEGER, (source = 'src3')::INTEGER) AS matched
+    FROM (SELECT doc_id, source, {_TOKENS} AS w FROM documents)) WHERE matched >= 1""")
+def text_search(t: Tables):
+    """The multi-field form, over text and source."""
+    query_string = {"query": "nicht src3", "fields": ["text", "source"], "default_operator": "or"}
+    hits = X.search(t.dealt("documents"), {"simple_query_string": query_string})
+    return hits.select("doc_id", "matched")
 
 
 @query("term_match", "SELECT doc_id, source FROM documents WHERE source = 'src3'")
@@ -112,7 +122,7 @@ def _bm25_sql(words: list[str]) -> str:
 
 @query("bm25", _bm25_sql(["nicht", "avec", "from"]))
 def bm25(t: Tables):
-    hits = X.bm25(t.dealt("documents", "doc_id"), "doc_id", "text", "nicht avec from")
+    hits = X.bm25(t.dealt("documents"), "doc_id", "text", "nicht avec from")
     return hits.select("doc_id", F.round("score", 6).alias("score"))
 
 
@@ -127,7 +137,7 @@ _MENTIONS = r"""runs AS (SELECT doc_id, generate_subscripts(r, 1) AS i, unnest(r
 @query("mentions", sql("", "gazetteer").rstrip() + ",\n" + _MENTIONS + """
     SELECT doc_id, sha256(doc_id || '|' || start || '|' || "end") AS mention_id, text, label, start, "end" FROM found""")
 def mentions(t: Tables):
-    return X.mentions(t.dealt("documents", "doc_id"), "doc_id", "text", t.gazetteer())
+    return X.mentions(t.dealt("documents"), "doc_id", "text", t.gazetteer())
 
 
 @query("entity_pairs", sql("", "gazetteer").rstrip() + ",\n" + _MENTIONS + """
@@ -137,7 +147,7 @@ def mentions(t: Tables):
     FROM (SELECT *, lead({'start': start, 'end': "end"}) OVER (PARTITION BY doc_id ORDER BY start, "end") AS n
         FROM found) JOIN documents d USING (doc_id) WHERE n IS NOT NULL""")
 def entity_pairs(t: Tables):
-    documents = t.dealt("documents", "doc_id")
+    documents = t.dealt("documents")
     found = X.mentions(documents, "doc_id", "text", t.gazetteer())
     return X.entity_pairs(found, documents, "doc_id", "text")
 
@@ -151,7 +161,7 @@ RELATIONS = {f"relation {n}": rule_vector(n + 10) for n in range(16)}
         ", ".join(f"('relation {n}', {_vector_sql(n + 10)})" for n in range(16))}) AS k(name, lv))
     GROUP BY vec_id) WHERE score >= 0.2""")
 def relation_argmax(t: Tables):
-    snippets = t.dealt("embeddings", "vec_id").select("vec_id", "embedding")
+    snippets = t.dealt("embeddings").select("vec_id", "embedding")
     best = X.relation_labels(snippets, "embedding", RELATIONS, 0.2)
     return best.select("vec_id", "label", F.round("score", 6).alias("score"))
 
@@ -227,7 +237,7 @@ def vector_metrics(t: Tables):
 def jaccard_text(t: Tables):
     words = F.array(*[F.lit(w) for w in ("the", "with", "from", "avec")])
     distance = V.jaccard(X.tokens(F.col("text")), words)
-    return t.dealt("documents", "doc_id").select("doc_id", F.round(distance, 6).alias("distance"))
+    return t.dealt("documents").select("doc_id", F.round(distance, 6).alias("distance"))
 
 
 _RANKED = f"""SELECT query, (row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id))::INTEGER AS rank,
@@ -307,7 +317,7 @@ _COUNTS = " || ',' || ".join(f"(length(text) - length(replace(text, '{c}', '')))
     END AS error, CASE WHEN source = 'src4' THEN '' ELSE {_COUNTS} END AS vector FROM documents""")
 def failure_routing(t: Tables):
     blank = F.when(F.col("source") == "src4", " ").otherwise(F.col("text"))
-    rows = store.enrich(t.dealt("documents", "doc_id").select("doc_id", blank.alias("body")), ["body"], _letter_vector)
+    rows = store.enrich(t.dealt("documents").select("doc_id", blank.alias("body")), ["body"], _letter_vector)
     whole = F.transform("body_embedding", lambda x: x.cast("int").cast("string"))
     return rows.select(
         "doc_id", F.coalesce("error", F.lit("")).alias("error"),
@@ -329,5 +339,5 @@ def reindex(t: Tables):
 
 @query("embed_documents")
 def embed_documents(t: Tables):
-    rows = S.embed_hashed(t.dealt("documents", "doc_id").select("doc_id", "text"), "text", DIMENSIONS)
+    rows = S.embed_hashed(t.dealt("documents").select("doc_id", "text"), "text", DIMENSIONS)
     return rows.select("doc_id", F.round(V.norm(F.col("embedding")), 3).alias("length"))

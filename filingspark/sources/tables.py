@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,6 +46,37 @@ def append(df: DataFrame, path: str) -> None:
     blank_to_null(df).write.mode("append").parquet(path)
 
 
+def _bucket(key: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def write_clustered(
+    df: DataFrame,
+    path: str,
+    key: str = "cik",
+    sort: Sequence[str] = (),
+    buckets: int = 256,
+    files_per_bucket: int = 4,
+) -> None:
+    """Write with a folder per hash bucket of ``key``, rows sorted by key within files.
+
+    Rows of a bucket are dealt to several files, so a company with very many
+    rows is not written by one task.
+    """
+    rows = df.withColumn("bucket", _bucket(F.col(key), buckets))
+    deal = F.pmod(F.xxhash64(*[n for n, t in df.dtypes if "map<" not in t]), F.lit(files_per_bucket))
+    dealt = rows.repartition(buckets * files_per_bucket, "bucket", deal)
+    dealt.sortWithinPartitions("bucket", key, *sort).write.partitionBy("bucket").parquet(path)
+
+
+def read_clustered(
+    spark: SparkSession, path: str, key: str, values: Sequence[str], buckets: int = 256
+) -> DataFrame:
+    """The rows of a few keys, read from their buckets only."""
+    wanted = F.col("bucket").isin(*[_bucket(F.lit(v), buckets) for v in values])
+    return spark.read.parquet(path).where(wanted & F.col(key).isin(*values)).drop("bucket")
+
+
 def insert_ignore_into(
     batch: DataFrame, path: str, keys: Sequence[str], order: Sequence[str]
 ) -> None:

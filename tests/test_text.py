@@ -78,6 +78,18 @@ def test_match(spark):
     assert X.text_match(df, ["text", "title"], "fox").count() == 4
 
 
+def test_search_forms(spark):
+    df = docs(spark, "quick fox", "dog", "fox")
+    ids = lambda q: sorted(r.id for r in X.search(df, q).collect())
+    assert ids({"match_all": {}}) == [0, 1, 2] and ids({"match_none": {}}) == []
+    assert ids({"term": {"text": "fox"}}) == [2] and ids({"match": {"text": "fox"}}) == [0, 2]
+    assert ids({"match": {"text": {"query": "fox quick", "operator": "and"}}}) == [0]
+    assert ids({"match": {"text": {"query": "!", "zero_terms_query": "all"}}}) == [0, 1, 2]
+    assert ids({"simple_query_string": {"query": "dog quick", "fields": ["text"]}}) == [0, 1]
+    with pytest.raises(ValueError):
+        X.search(df, {"other": {"a": 1}})
+
+
 def test_mentions_and_pairs(spark):
     df = docs(spark, "Apple Inc sued Acme; apple lost.", "Acme", "")
     names = spark.createDataFrame([("apple inc", "ORG"), ("Apple", "ORG"), ("ACME", "ORG"), ("Acme", "ORG")], "name string, label string")
