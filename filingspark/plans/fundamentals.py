@@ -312,9 +312,9 @@ def resolve_company(t: Tables):
 
 @query("company_dossier", sql(
     """, w AS (SELECT DISTINCT cik, ticker FROM companies)
-    SELECT cik, 'meta' AS section, NULL::BIGINT AS at, '{"cik":"' || cik || '","name":"' || title || '"}' AS item
+    SELECT cik, 'meta' AS section, -1::BIGINT AS at, '{"cik":"' || cik || '","name":"' || title || '"}' AS item
         FROM companies SEMI JOIN w USING (cik)
-    UNION ALL SELECT cik, 'address', NULL, '{"cik":"' || cik || '","city":"' || country || '"}'
+    UNION ALL SELECT cik, 'address', -1, '{"cik":"' || cik || '","city":"' || country || '"}'
         FROM companies SEMI JOIN w USING (cik)
     UNION ALL SELECT w.cik, 'news', created, '{"id":' || id || '}' FROM articles JOIN w USING (ticker)
         WHERE created >= 1704412800
@@ -340,7 +340,7 @@ def company_dossier(t: Tables):
     volume = F.concat(F.lit('{"volume":'), F.get_json_object("item", "$.volume"), F.lit("}"))
     number = F.concat(F.lit('{"id":'), F.get_json_object("item", "$.id"), F.lit("}"))
     item = F.when(F.col("section") == "candle", volume).when(F.col("section") == "news", number)
-    return sections.withColumn("item", item.otherwise(F.col("item")))
+    return sections.withColumns({"item": item.otherwise(F.col("item")), "at": F.coalesce("at", F.lit(-1))})
 
 
 @query("type_frequency", sql(

@@ -168,12 +168,13 @@ def stale_tickers(t: Tables):
 
 
 @query("screener_enrich", sql(
-    """SELECT a.id, a.ticker, market_cap, country, sector, industry FROM articles a
+    """SELECT a.id, a.ticker, coalesce(market_cap, -9) AS market_cap, country, sector, industry FROM articles a
     LEFT JOIN (SELECT * FROM screener WHERE market_cap > 0) s ON s.symbol = a.ticker""",
     "articles", "screener"))
 def screener_enrich(t: Tables):
     screener = t.screener().where("market_cap > 0")
-    return C.screener_enrich(t.articles().select("id", "ticker"), screener)
+    enriched = C.screener_enrich(t.articles().select("id", "ticker"), screener)
+    return enriched.withColumn("market_cap", F.coalesce("market_cap", F.lit(-9)))
 
 
 _LABELS = """priced AS (SELECT a.id, a.ticker, a.created, min(c.datetime) AS open_at,

@@ -54,14 +54,16 @@ def insert_ignore_batches(
 
     Each batch owns the folder ``batch=<id>`` and replaces it, so a batch that is
     run again after a failure leaves the same rows. Keys are checked against the
-    stored table, which needs no growing stream state.
+    stored table, which needs no growing stream state. The transformed batch is
+    kept while it is loaded, as rows with and without NULL keys are read apart.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        rows = transform(batch)
+        rows = transform(batch).persist()
         stored = _stored(batch.sparkSession, target, rows.schema, batch_id)
         new = K.insert_ignore(stored, rows, keys, order)
         new.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        rows.unpersist()
 
     return load
 
