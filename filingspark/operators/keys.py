@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+ROWS_PER_TASK = 1_000_000
+
 
 def _all_set(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
@@ -81,13 +83,13 @@ def spread_join(
     keys: Sequence[str],
     how: str = "inner",
     spread_on: Sequence[str] = (),
-    rows_per_task: int = 1_000_000,
+    rows_per_task: int | None = None,
     max_hot: int = 1_000,
     counts: DataFrame | None = None,
 ) -> DataFrame:
     """Equi join in which a few keys may hold most rows of ``big``.
 
-    ``small`` has at most one row per key. Keys above ``rows_per_task`` rows are
+    ``small`` has at most one row per key. Keys above ``rows_per_task`` (a million) rows are
     counted first (a pre-aggregated pass over the key columns only); their rows
     in ``big`` are spread over as many salts as they need by a hash of
     ``spread_on``, and only the matching rows of ``small`` are repeated. The
@@ -97,6 +99,7 @@ def spread_join(
     serves as well. Rows with a NULL key cannot match and are
     spread as well, so an outer join does not pile them up in one task.
     """
+    rows_per_task = rows_per_task or ROWS_PER_TASK
     keys = list(keys)
     spread_on = list(spread_on) or [n for n, t in big.dtypes if "map<" not in t]
     if counts is None:
