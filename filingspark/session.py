@@ -47,9 +47,20 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+_homes: dict[tuple[str, str], str] = {}
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/filingspark/{name}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared folder, removed when the driver ends."""
+    shared, context = shared_dir(spark), spark.sparkContext
+    if (context.applicationId, shared) not in _homes:
+        home = f"{shared}/filingspark/{context.applicationId}-{uuid.uuid4().hex}"
+        place = context._jvm.org.apache.hadoop.fs.Path(home)
+        files = place.getFileSystem(context._jsc.hadoopConfiguration())
+        files.mkdirs(place)
+        files.deleteOnExit(place)
+        _homes[context.applicationId, shared] = home
+    return f"{_homes[context.applicationId, shared]}/{name}-{uuid.uuid4().hex}"
 
 
 def checkpoint(df):
