@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filingspark.llm import ball_tree, mixing, shards, spot_signatures, url_rules
+from filingspark.llm import ball_tree, mixing, parity_join, shards, spot_signatures, url_rules
 from filingspark.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +124,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_sampled_splitters")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_documents(table(spark, sf_dir, "documents"), 24)
+
+
+@query("op9_parity_join")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity_join.components(table(spark, sf_dir, "documents"))
