@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filingspark.llm import ball_tree, mixing, parity_join, shards, spot_signatures, url_rules
+from filingspark.llm import ball_tree, language, mixing, parity_join, shards, spot_signatures, url_rules
 from filingspark.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,3 +129,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_parity_join")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity_join.components(table(spark, sf_dir, "documents"))
+
+
+@query("op2_segmented_unigrams")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang", "text"
+    )
+    model = language.learn(docs.where("not held_out"))
+    return language.identify(docs, model, columns=["doc_id", "held_out"])
