@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filingspark.llm import ball_tree, language, mixing, parity_join, shards, spot_signatures, url_rules
+from filingspark.llm import ball_tree, language, mixing, packing, parity_join, shards, spot_signatures, url_rules
 from filingspark.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,3 +138,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     model = language.learn(docs.where("not held_out"))
     return language.identify(docs, model, columns=["doc_id", "held_out"])
+
+
+@query("op3_best_fit_packing")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
