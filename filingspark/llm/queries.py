@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filingspark.llm import ball_tree, language, mixing, packing, parity_join, shards, spot_signatures, url_rules
+from filingspark.llm import ball_tree, language, merkle, mixing, packing, parity_join, shards, spot_signatures, url_rules
 from filingspark.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,3 +143,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_best_fit_packing")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query("op5_merkle_audit")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    replicas = merkle.page_replicas(table(spark, sf_dir, "pages"))
+    return merkle.audit(replicas, ["a", "b", "c"])
