@@ -161,7 +161,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, shard_rows: int = SH
             .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
             .where("shard <> home")
         )
-        copied = dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        own = [F.col(c).alias(c) for c in ("vec_id", "vector", "width", "shard")]
+        copied = dealt.select(*own, F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
         away = (
             copied.groupBy("width", "shard", "block")
             .cogroup(travelling.groupBy("width", "shard", "block"))

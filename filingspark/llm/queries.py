@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filingspark.llm import ball_tree, language, merkle, mixing, packing, parity_join, shards, spot_signatures, url_rules
+from filingspark.llm import (
+    ball_tree, language, licences, merkle, mixing, packing, parity_join, shards, spot_signatures, url_rules,
+)
 from filingspark.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -149,3 +151,9 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     replicas = merkle.page_replicas(table(spark, sf_dir, "pages"))
     return merkle.audit(replicas, ["a", "b", "c"])
+
+
+@query("op7_licence_classifier")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licences.scan(docs, licences.train(docs))
