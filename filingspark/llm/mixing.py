@@ -186,7 +186,7 @@ def mix(
     return taken.unionByName(wordless), order
 
 
-def taken_of(sizes: DataFrame, **options) -> DataFrame:
-    """The digest ``doc_id, size, source_size, target, taken`` of the mix."""
+def taken_rows(sizes: DataFrame, **options) -> DataFrame:
+    """The mix as ``doc_id, source, size, source_size, target, taken``, a row per input row."""
     taken, _ = mix(sizes, **options)
-    return taken.select("doc_id", "size", "source_size", "target", "taken")
+    return taken.select("doc_id", "source", "size", "source_size", "target", "taken")

@@ -120,7 +120,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.taken_of(mixing.sized(table(spark, sf_dir, "documents")))
+    return mixing.taken_rows(mixing.sized(table(spark, sf_dir, "documents"))).drop("source")
 
 
 @query("op10_sampled_splitters")
@@ -157,3 +157,10 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return licences.scan(docs, licences.train(docs))
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
