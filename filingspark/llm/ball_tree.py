@@ -70,7 +70,8 @@ def search(
     big = max(np.abs(asked).max(initial=0), np.abs(tree.rows).max(initial=0))
     exact = np.float64 if big * big * max(1, asked.shape[1]) < 2**53 else np.int64
     left, right = queries.astype(exact), tree.rows.astype(exact)
-    score = np.full((len(asked), k), -np.inf if exact is np.float64 else np.iinfo(np.int64).min, dtype=exact)
+    empty = -np.inf if exact is np.float64 else np.iinfo(np.int64).min
+    score = np.full((len(asked), k), empty, dtype=exact)
     found = np.full((len(asked), k), -1, dtype=np.int64)
     lowest = floor.astype(np.float64).copy()
     by_bound = np.argsort(-bound, axis=1, kind="stable")
@@ -87,16 +88,15 @@ def search(
             ids = np.broadcast_to(tree.ids[a:b], got.shape)
             own = ids == query_ids[who][:, None]
             all_ids = np.concatenate([found[who], np.where(own, -1, ids)], axis=1)
-            empty = -np.inf if exact is np.float64 else np.iinfo(np.int64).min
             all_scores = np.concatenate([score[who], np.where(own, empty, got)], axis=1)
             by_id = np.argsort(all_ids, axis=1, kind="stable")
             ranked = np.take_along_axis(all_scores, by_id, axis=1)
-            last = np.argsort(-ranked, axis=1, kind="stable")[:, :k]
+            falling = -ranked if exact is np.float64 else ~ranked  # ~x falls with x, without overflow
+            last = np.argsort(falling, axis=1, kind="stable")[:, :k]
             score[who] = np.take_along_axis(ranked, last, axis=1)
             found[who] = np.take_along_axis(np.take_along_axis(all_ids, by_id, axis=1), last, axis=1)
-            valid = all_scores[:, :k].shape[1] and score[who][:, -1] > empty
-            lowest[who] = np.where(valid, np.maximum(lowest[who], score[who][:, -1].astype(np.float64)), lowest[who])
-    empty = -np.inf if exact is np.float64 else np.iinfo(np.int64).min
+            kth = score[who, -1]
+            lowest[who] = np.where(kth > empty, np.maximum(lowest[who], kth.astype(np.float64)), lowest[who])
     row, column = np.nonzero(score > empty)
     return row, found[row, column], score[row, column].astype(np.int64)
 
