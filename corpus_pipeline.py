@@ -78,7 +78,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         .where("_times > 0")
     )
     same = docs["doc_id"].eqNullSafe(times["_id"]) & docs["source"].eqNullSafe(times["_source"])
-    repeated = docs.join(times, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    repeated = docs.join(times, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), times["_times"])))
     return repeated.select(*[docs[c] for c in docs.columns])
 
 

@@ -28,9 +28,8 @@ def top_of_band(sizes: np.ndarray, step: int = 0) -> np.ndarray:
     Each band reaches to five fourths of the one below, so partners lie in the same
     band or in neighbouring ones.
     """
-    tops = [1]
-    most = int(sizes.max(initial=1))
-    while tops[-1] < most or len(tops) < 2 or tops[-2 - step if step else -1] < most:
+    tops = [1, 2]
+    while tops[-2] < sizes.max(initial=1):
         tops.append(max(tops[-1] + 1, tops[-1] * 5 // 4))
     ends = np.array(tops, dtype=np.int64)
     return ends[np.searchsorted(ends, sizes) + step]

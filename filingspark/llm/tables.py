@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from bisect import bisect_right
+from bisect import bisect_left
 from collections.abc import Sequence
 from math import isqrt
 
@@ -56,5 +56,5 @@ def weighted_splitters(sample: Sequence[tuple], parts: int) -> list:
         keys.append(key)
         sums.append(so_far)
         so_far += weight
-    at = [bisect_right(sums, total * part / parts) for part in range(1, parts)]
+    at = [bisect_left(sums, total * part / parts) for part in range(1, parts)]
     return sorted({keys[i] for i in at if 0 < i < len(keys)})
