@@ -9,7 +9,7 @@ WEEK_S = 7 * 24 * 3600
 
 
 def epoch(text: Column) -> Column:
-    """Epoch seconds of RFC 2822, ISO date or date-time, US date-time, or bare epoch text.
+    """Epoch seconds of RFC 2822, ISO date or date-time, US date-time, or bare epoch text in seconds or milliseconds.
 
     Weekday names cannot be parsed by pattern and carry no information, so they
     are removed. Unreadable text gives NULL.
@@ -20,7 +20,8 @@ def epoch(text: Column) -> Column:
         F.try_to_timestamp(body, F.lit("MM/dd/yyyy hh:mm a")),
         text.try_cast("timestamp"),
     )
-    return F.when(text.rlike(r"^\d{9,}$"), text.try_cast("bigint")).otherwise(F.unix_timestamp(parsed))
+    whole = seconds(text.try_cast("bigint"))
+    return F.when(text.rlike(r"^\d{9,}$"), whole).otherwise(F.unix_timestamp(parsed))
 
 
 def seconds(value: Column) -> Column:

@@ -51,17 +51,19 @@ def previous_close(daily: DataFrame) -> DataFrame:
 def by_session(candles: DataFrame, sessions: DataFrame, extended: bool = False) -> DataFrame:
     """Candles inside the regular session of their day, or outside it.
 
-    ``sessions`` holds ``is_open``, ``start`` and ``end`` per day. It is brought to
-    one row per calendar day, a few hundred a year whatever the number of
-    candles, which is what allows to broadcast it.
+    ``sessions`` holds ``is_open``, ``start`` and ``end`` per day. A session is listed
+    under each UTC day that it touches, one row per day, a few hundred a year
+    whatever the number of candles, which is what allows to broadcast it.
     """
+    days = F.sequence(F.expr("start div 86400L"), F.expr("end div 86400L"))
     calendar = (
-        sessions.where("is_open")
-        .groupBy(F.floor(F.col("start") / 86400).alias("_day"))
-        .agg(F.min("start").alias("_start"), F.max("end").alias("_end"))
+        sessions.where("is_open and start <= end")
+        .select("start", "end", F.explode(days).alias("_day"))
+        .groupBy("_day")
+        .agg(F.collect_set(F.struct("start", "end")).alias("_open"))
     )
-    inside = (F.floor(F.col("datetime") / 86400) == F.col("_day")) & F.col("datetime").between(
-        F.col("_start"), F.col("_end")
+    inside = (F.expr("datetime div 86400L") == F.col("_day")) & F.exists(
+        "_open", lambda s: F.col("datetime").between(s["start"], s["end"])
     )
     return candles.join(F.broadcast(calendar), inside, "left_anti" if extended else "left_semi")
 

@@ -135,7 +135,7 @@ def labelled_articles(
     ).where(F.col("created") <= F.col("_last"))
     once = first_wins(
         timely.select("id", "ticker", "author", "created", "title"),
-        ["id"], ["created", "ticker"], null_keys=False,
+        ["id", "ticker"], ["created"], null_keys=False,
     )
     labels = price_labels(once, candles, max_gap=max_gap, threshold=threshold, base=base)
     trend = volume_trend(labels, candles, short=short, long=long, base=base)

@@ -56,7 +56,9 @@ def insert_ignore(
 ) -> DataFrame:
     """The rows of ``batch`` to append: first per key and not yet in ``target``."""
     stored = target.where(_all_set(keys)).select(*keys)
-    return first_wins(batch, keys, order).join(stored, list(keys), "left_anti")
+    keyed = first_wins(batch.where(_all_set(keys)), keys, order, null_keys=False)
+    new = keyed.join(stored, list(keys), "left_anti").select(*batch.columns)
+    return new.unionByName(batch.where(~_all_set(keys)))  # a NULL key never conflicts
 
 
 def upsert(
@@ -84,7 +86,6 @@ def spread_join(
     how: str = "inner",
     spread_on: Sequence[str] = (),
     rows_per_task: int | None = None,
-    max_hot: int = 1_000,
     counts: DataFrame | None = None,
 ) -> DataFrame:
     """Equi join in which a few keys may hold most rows of ``big``.
@@ -92,9 +93,9 @@ def spread_join(
     ``small`` has at most one row per key. Keys above ``rows_per_task`` (a million) rows are
     counted first (a pre-aggregated pass over the key columns only); their rows
     in ``big`` are spread over as many salts as they need by a hash of
-    ``spread_on``, and only the matching rows of ``small`` are repeated. The
-    broadcast list holds at most ``max_hot`` keys; any key beyond that has less
-    than ``1/max_hot`` of the rows. Pass ``counts`` (some or all keys and ``_n``)
+    ``spread_on``, and only the matching rows of ``small`` are repeated. All such
+    keys are split; they number at most the rows of ``big`` over ``rows_per_task``,
+    one in a million, which bounds the list that is broadcast. Pass ``counts`` (some or all keys and ``_n``)
     when ``big`` is costly to make: a count over a larger table, or by fewer keys,
     serves as well. Rows with a NULL key cannot match and are
     spread as well, so an outer join does not pile them up in one task.
@@ -107,8 +108,6 @@ def spread_join(
     counted = [k for k in keys if k in counts.columns]
     hot = F.broadcast(
         counts.where(F.col("_n") > rows_per_task)
-        .orderBy(F.desc("_n"), *counted)
-        .limit(max_hot)
         .select(*counted, F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_salts"))
     )
     digest = F.xxhash64(*spread_on)

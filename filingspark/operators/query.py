@@ -10,9 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _COMPARE = {"eq": "__eq__", "gt": "__gt__", "lt": "__lt__"}
-MAX_HITS = 10_000
-MAX_LISTED = 50
-MAX_PAGE = 99
 DISPLAY = {
     "headline": ["id", "created", "updated", "author", "title"],
     "abstract": ["id", "created", "updated", "author", "title", "teaser"],
@@ -34,7 +31,7 @@ def table_query(
     df: DataFrame,
     columns: Sequence[str] | None = None,
     where: Sequence[tuple[str, str, Any]] = (),
-    distinct: bool = False,
+    distinct: bool | str = False,
     sort: str | Sequence[str] | None = None,
     descending: bool = True,
     limit: int | None = None,
@@ -43,13 +40,20 @@ def table_query(
 
     Any value but None filters, zero and the empty string included. Sorting
     applies with or without conditions; ``sort`` may name columns outside the
-    projection unless ``distinct`` is asked for.
+    projection unless ``distinct`` is asked for. ``distinct`` may name a column:
+    then one row stays for each of its values, the least by the projected columns.
     """
     for name, compare, value in where:
         if value is not None:
             df = df.where(getattr(F.col(name), _COMPARE[compare])(F.lit(value)))
     if distinct:
-        df = (df.select(*columns) if columns else df).distinct()
+        df = df.select(*columns) if columns else df
+    if isinstance(distinct, str):
+        rest = [c for c in df.columns if c != distinct]
+        least = F.min(F.struct(*rest) if rest else F.lit(0)).alias("_row")
+        df = df.groupBy(distinct).agg(least).select(*[c if c == distinct else f"_row.{c}" for c in df.columns])
+    elif distinct:
+        df = df.distinct()
     if sort is not None:
         df = df.orderBy(*[F.desc(c) if descending else F.asc(c) for c in _listed(sort)])
     if limit is not None:
@@ -71,7 +75,7 @@ def ticker_search(
     key: str | None = None,
     condition: str = "lte",
     value: Any = None,
-    limit: int = MAX_HITS,
+    limit: int | None = None,
 ) -> DataFrame:
     """A ticker's articles, newest first; ``eq`` with a pair is an inclusive range."""
     hits = articles.where(F.col("ticker") == ticker)
@@ -83,7 +87,8 @@ def ticker_search(
             hits = hits.where(F.col(key) >= F.lit(low))
         if high is not None:
             hits = hits.where(F.col(key) <= F.lit(high))
-    return hits.orderBy(F.desc("created"), F.asc("id")).limit(limit)
+    hits = hits.orderBy(F.desc("created"), F.asc("id"))
+    return hits if limit is None else hits.limit(limit)
 
 
 def _topic_rank(topics: Sequence[str]) -> Column:
@@ -124,12 +129,8 @@ def news_feed(
     given. ``identifiers`` maps a security id column (isin, cusip) to its
     values. ``page`` counts from 0; without it every article is returned.
     """
-    lists = {"tickers": tickers, **(identifiers or {})}
-    for name, values in lists.items():
-        if values is not None and len(values) > MAX_LISTED:
-            raise ValueError(f"at most {MAX_LISTED} {name}")
-    if page is not None and not 0 <= page <= MAX_PAGE:
-        raise ValueError(f"page must be 0 to {MAX_PAGE}")
+    if page is not None and page < 0:
+        raise ValueError("page counts from 0")
 
     def overlaps(column: str, values: Sequence[str]) -> Column:
         return F.arrays_overlap(F.col(column), F.array(*[F.lit(v) for v in values]))
@@ -171,11 +172,17 @@ def paged_query(
     limit: int | None = None,
     partitions: tuple[str, Sequence[Any]] | None = None,
 ) -> DataFrame:
-    """SQL condition, optional partition list, then a window of the total ``order``."""
+    """SQL condition, optional partition list, then a window of the total ``order``.
+
+    With a ``limit`` each task passes on no more rows than the window reaches to. An
+    ``offset`` alone would number the whole table in one task and is refused.
+    """
+    if offset and limit is None:
+        raise ValueError("an offset needs a limit")
     if partitions is not None:
         df = df.where(F.col(partitions[0]).isin(*partitions[1]))
-    df = df.where(F.expr(condition)).orderBy(*order).offset(offset)
-    return (df if limit is None else df.limit(limit)).select(*columns)
+    df = df.where(F.expr(condition)).orderBy(*order)
+    return (df if limit is None else df.offset(offset).limit(limit)).select(*columns)
 
 
 def focused_articles(articles: DataFrame, most: int = 3) -> DataFrame:

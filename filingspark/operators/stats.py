@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def type_frequency(df: DataFrame, column: str, top: int = 50) -> DataFrame:
-    counts = df.groupBy(column).agg(F.count("*").alias("n"))
-    return counts.orderBy(F.desc("n"), F.asc(column)).limit(top)
+def type_frequency(df: DataFrame, column: str, top: int | None = None) -> DataFrame:
+    """Rows per value, the most frequent first; ``top`` keeps that many values."""
+    counts = df.groupBy(column).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.asc(column))
+    return counts if top is None else counts.limit(top)
 
 
 def freshness(df: DataFrame, key: str, fresh: Column) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
+from html.entities import html5
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -13,11 +14,8 @@ from pyspark.sql import functions as F
 from filingspark.functions import clean, vectors
 from filingspark.operators.keys import spread_join
 
-# Character entities that occur in filings; the ampersand goes last.
-ENTITIES = {
-    "&nbsp;": " ", "&#160;": " ", "&#8203;": " ", "&lt;": "<", "&gt;": ">",
-    "&quot;": '"', "&#39;": "'", "&apos;": "'", "&amp;": "&",
-}
+ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+NAMED = {name: text for name, text in html5.items() if name.endswith(";")}  # the standard's list
 INVISIBLE = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
 FIRST_BOLD = r"(?is)<b(?:\s[^>]*)?>(.*)$"
 _CUT = "\u0001"
@@ -27,14 +25,45 @@ SPANS_PER_BATCH = 50_000
 SEPARATORS = ("\n\n", "\n", " ", "")
 
 
+def _numbered(code: Column) -> Column:
+    """The character of a code point; the replacement character where there is none."""
+    # 128 to 159 are read in the code page that browsers use for them
+    windows = [bytes([n]).decode("cp1252", "replace") for n in range(128, 160)]
+    page = F.get(F.array(*[F.lit(c) for c in windows]), (code - 128).cast("int"))
+    valid = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+    return (
+        F.when(code.between(128, 159), page)
+        .when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+        .otherwise("\ufffd")
+    )
+
+
+def entities_decoded(text: Column) -> Column:
+    """``text`` with its numeric and named character entities decoded, each once."""
+
+    def piece(part: Column) -> Column:
+        hexadecimal = F.conv(F.regexp_extract(part, r"^&#[xX]([0-9a-fA-F]+);$", 1), 16, 10)
+        decimal = F.regexp_extract(part, r"^&#([0-9]+);$", 1)
+        name = F.substring(part, F.lit(2), F.length(part))
+        named = F.map_from_arrays(F.array(*map(F.lit, NAMED)), F.array(*map(F.lit, NAMED.values())))
+        return (
+            F.when(~part.startswith("&") | (F.length(part) < 3), part)
+            .when(decimal != "", _numbered(decimal.try_cast("bigint")))
+            .when(part.rlike("^&#[xX]"), _numbered(hexadecimal.try_cast("bigint")))
+            .otherwise(F.coalesce(F.try_element_at(named, name), part))
+        )
+
+    parts = F.regexp_extract_all(text, F.lit(ENTITY + "|[^&]+|&"), F.lit(0))
+    return F.when(text.contains("&"), F.array_join(F.transform(parts, piece), "")).otherwise(text)
+
+
 def html_strings(html: Column) -> Column:
     """Text nodes after the first bold tag, blank ones dropped; no bold tag, no strings."""
     body = F.regexp_extract(F.regexp_replace(html, INVISIBLE, "<>"), FIRST_BOLD, 1)
     nodes = F.split(F.regexp_replace(body, "<[^>]*>", _CUT), _CUT)
 
     def decode(node: Column) -> Column:
-        plain = reduce(lambda c, e: F.replace(c, F.lit(e[0]), F.lit(e[1])), ENTITIES.items(), node)
-        return clean.plain_spaces(plain)
+        return clean.plain_spaces(entities_decoded(node))
 
     return F.filter(F.transform(nodes, decode), lambda s: s.rlike(r"\S"))
 
@@ -43,58 +72,51 @@ def html_text(pages: DataFrame, key: str, html: str) -> DataFrame:
     return pages.select(key, F.posexplode(html_strings(F.col(html))).alias("pos", "text"))
 
 
+HEADER_ROW = "array<struct<path:string,level:int,key:string,value:string>>"
+
+
+def header_rows(block: str | None) -> list[dict] | None:
+    """The rows of one header block, in one pass over its lines."""
+    if block is None:
+        return None
+    rows: list[dict] = []
+    above: list[tuple[int, str]] = []
+    seen: dict[tuple[str, str], int] = {}
+    for line in re.split(r"\r?\n", block):
+        if ":" not in line:
+            continue
+        level = len(line) - len(line.lstrip("\t"))
+        cells = line[level:].split("\t")
+        name = cells[0].replace(":", "").strip(" ")
+        while above and above[-1][0] >= level:
+            above.pop()
+        parent = "/".join(key for _, key in above)
+        earlier = seen.get((parent, name), 0)
+        seen[parent, name] = earlier + 1
+        key = f"{name}{earlier + 1}" if earlier and "FORMER COMPANY" in name else name
+        above.append((level, key))
+        value = cells[-1] if len(cells) > 1 else ""
+        rows.append({"path": f"{parent}/{key}" if parent else key, "level": level, "key": key, "value": value})
+    return rows
+
+
 def header_tree(text: Column) -> Column:
     """``KEY:<tabs>value`` lines as ``array<struct<path, level, key, value>>``.
 
     Leading tabs give the level, and a line belongs to the nearest line above
     with a smaller one. A repeated FORMER COMPANY below the same parent is
     numbered from 2. The tagged header block is read where there is one, else
-    the whole text.
+    the whole text if it has a key on a line indented by tabs; other texts have no
+    rows. Only header blocks are handed to Python.
     """
-    block = F.regexp_extract(text, r"(?is)<SEC-HEADER>(.*?)</SEC-HEADER>", 1)
-    lines = F.split(F.when(block != "", block).otherwise(text), r"\r?\n")
-
-    def parse(line: Column) -> Column:
-        level = F.length(F.regexp_extract(line, r"^\t*", 0))
-        cells = F.split(F.substring(line, level + 1, F.length(line)), "\t")
-        value = F.when(F.size(cells) > 1, F.element_at(cells, -1)).otherwise("")
-        key = F.trim(F.replace(F.get(cells, F.lit(0)), F.lit(":"), F.lit("")))
-        return F.struct(level.alias("level"), key.alias("key"), value.alias("value"))
-
-    def place(state: Column, line: Column) -> Column:
-        above = F.filter(state["above"], lambda a: a["level"] < line["level"])
-        parent = F.array_join(F.transform(above, lambda a: a["key"]), "/")
-        earlier = F.size(
-            F.filter(state["rows"], lambda r: (r["parent"] == parent) & (r["name"] == line["key"]))
-        )
-        again = line["key"].contains("FORMER COMPANY") & (earlier > 0)
-        key = F.when(again, F.concat(line["key"], (earlier + 1).cast("string"))).otherwise(line["key"])
-        row = F.struct(
-            parent.alias("parent"), line["key"].alias("name"), line["level"].alias("level"),
-            key.alias("key"), line["value"].alias("value"),
-        )
-        return F.struct(
-            F.array_append(above, F.struct(line["level"].alias("level"), key.alias("key"))).alias("above"),
-            F.array_append(state["rows"], row).alias("rows"),
-        )
 
-    start = F.struct(
-        F.array().cast("array<struct<level:int,key:string>>").alias("above"),
-        F.array()
-        .cast("array<struct<parent:string,name:string,level:int,key:string,value:string>>")
-        .alias("rows"),
-    )
-    parsed = F.transform(F.filter(lines, lambda s: s.contains(":")), parse)
-    rows = F.aggregate(parsed, start, place, lambda state: state["rows"])
-    return F.transform(
-        rows,
-        lambda r: F.struct(
-            F.when(r["parent"] == "", r["key"]).otherwise(F.concat_ws("/", r["parent"], r["key"])).alias("path"),
-            r["level"].alias("level"),
-            r["key"].alias("key"),
-            r["value"].alias("value"),
-        ),
-    )
+    @F.pandas_udf(HEADER_ROW)
+    def rows(blocks: pd.Series) -> pd.Series:
+        return blocks.map(header_rows)
+
+    block = F.regexp_extract(text, r"(?is)<SEC-HEADER>(.*?)</SEC-HEADER>", 1)
+    bare = F.when(text.rlike(r"(?m)^\t+[^\t\n:]+:"), text)
+    return rows(F.coalesce(F.when(block != "", block), bare, F.lit("")))
 
 
 def sgml_header(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -182,6 +204,8 @@ def text_match(
     matches within ``fuzziness`` edits (0 to 5, or AUTO by word length). Each row
     is decided on its own, without shuffling words.
     """
+    if operator.lower() not in ("and", "or"):
+        raise ValueError(f"unknown operator {operator}")
     terms = query_terms(query)
     if not terms:
         return df.withColumn("matched", F.lit(0)).where(F.lit(zero_terms == "all"))
@@ -196,7 +220,7 @@ def text_match(
         return reduce(lambda a, b: a + b, [found(words, t).cast("int") for t in terms])
 
     per_field = F.transform(F.array(*[tokens(F.col(f)) for f in fields]), hits)
-    needed = len(terms) if operator == "and" else 1
+    needed = len(terms) if operator.lower() == "and" else 1
     return df.withColumn("matched", F.array_max(per_field)).where(F.col("matched") >= needed)
 
 
@@ -231,9 +255,12 @@ def bm25(df: DataFrame, key: str, text: str, query: str, k1: float = 1.2, b: flo
     """``(key, score)`` of the rows holding a query word.
 
     Word counts are taken inside each row; only the collection figures (rows,
-    mean length, rows per word) are aggregated, into one row.
+    mean length, rows per word) are aggregated, into one row. A query without words
+    finds nothing.
     """
     terms = query_terms(query)
+    if not terms:
+        return df.select(key, F.lit(0.0).alias("score")).where(F.lit(False))
 
     def found(words: Column) -> Column:
         return F.struct(F.size(words).alias("len"), F.filter(words, lambda w: w.isin(*terms)).alias("hits"))

@@ -149,8 +149,8 @@ def screener_clean(t: Tables):
     """SELECT cik || '-' || accn AS filing, count(*) AS n FROM facts GROUP BY ALL""", "facts"))
 def zip_scan(t: Tables):
     path = scratch(t.spark, "zip")
-    archives.write_archives(t.facts_json().repartition(8, "entry"), path)
-    found = archives.zip_scan(t.spark, f"{path}/*.zip", slices=4)
+    archives.write_archives(t.facts_json(), path)
+    found = archives.zip_scan(t.spark, f"{path}/*.zip", slice_bytes=64 << 10)
     filing = F.substring_index("entry", "-", 4)
     cik = F.from_json("content", "cik bigint")["cik"]
     return found.groupBy(filing.alias("filing")).agg(F.count(cik).alias("n"))
@@ -344,7 +344,7 @@ def company_dossier(t: Tables):
 
 
 @query("type_frequency", sql(
-    "SELECT form, count(*) AS n FROM filings GROUP BY form ORDER BY n DESC, form LIMIT 50", "filings"))
+    "SELECT form, count(*) AS n FROM filings GROUP BY form ORDER BY n DESC, form", "filings"))
 def type_frequency(t: Tables):
     return stats.type_frequency(t.filings(), "form")
 

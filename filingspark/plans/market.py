@@ -100,7 +100,7 @@ def webhook_scan(t: Tables):
     )
     path = scratch(t.spark, "webhook")
     envelope.write.json(path)
-    rows = feeds.news_webhooks(t.spark, path)
+    rows = feeds.news_webhooks(t.spark, path, lines=True)
     return rows.select(
         "id", "created", "title", "author", "body",
         F.get("stocks", F.lit(0)).alias("first_stock"), F.get("channels", F.lit(0)).alias("channel"),
@@ -125,7 +125,7 @@ def article_children(t: Tables):
 
 @query("ticker_search", sql(
     """SELECT id, ticker, created, title FROM articles WHERE ticker = 'T3'
-    AND created BETWEEN 1704067200 AND 1709251200 ORDER BY created DESC, id LIMIT 10000""", "articles"))
+    AND created BETWEEN 1704067200 AND 1709251200 ORDER BY created DESC, id""", "articles"))
 def ticker_search(t: Tables):
     hits = Q.ticker_search(t.articles(), "T3", "created", "eq", [1704067200, 1709251200])
     return hits.select("id", "ticker", "created", "title")

@@ -27,13 +27,8 @@ class Tables:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
     def dealt(self, name: str) -> DataFrame:
-        """A table for heavy work per row, dealt out evenly if it has fewer files than cores.
-
-        A table of many files is read as it is, without a shuffle.
-        """
-        df = self[name]
-        cores = self.spark.sparkContext.defaultParallelism
-        return df if len(df.inputFiles()) >= cores else df.repartition(cores)
+        """A table for heavy work per row: as it is stored, so its files set the tasks."""
+        return self[name]
 
     def candles_raw(self) -> DataFrame:
         value = F.col("value")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from filingspark.operators import flatten
@@ -9,58 +12,104 @@ from filingspark.plans.proxies import Tables, sql
 from filingspark.plans.registry import query
 from filingspark.session import scratch
 from filingspark.sources import archives, feeds
+from filingspark.streaming import feeds as fed
 from filingspark.streaming import loads
 
+_LANDED = "archive string, entry string, content string"
 _FACT_KEY = ["cik", "accn", "fy", "form"]
 
 
-def _land(t: Tables) -> str:
+def _land(t: Tables, objects=None) -> str:
     """Archive, scan and land the company objects as a stream source."""
     zipped, landed = scratch(t.spark, "zip"), scratch(t.spark, "landed")
-    archives.write_archives(t.facts_json().repartition(8, "entry"), zipped)
-    loads.land(archives.zip_scan(t.spark, f"{zipped}/*.zip", slices=4), landed, chunks=16)
+    archives.write_archives(t.facts_json() if objects is None else objects, zipped)
+    loads.land(archives.zip_scan(t.spark, f"{zipped}/*.zip"), landed)
     return landed
 
 
-def _load_shares(t: Tables, landed: str, target: str, state: str) -> None:
-    stream = loads.read_landed(t.spark, landed, "archive string, entry string, content string", 8)
+def _load_shares(t: Tables, landed: str, target: str) -> None:
+    """Load with offsets of its own, as a stream that has lost them does."""
+    stream, state = loads.read_landed(t.spark, landed, _LANDED, 8), scratch(t.spark, "state")
 
     def shares(batch):
         return flatten.shares_outstanding(feeds.company_facts(batch)).select(*_FACT_KEY, "val", "end")
 
-    load = loads.insert_ignore_batches(target, _FACT_KEY, ["val", "end"], shares)
+    own = loads.stream_id(t.spark, state)
+    load = loads.insert_ignore_batches(target, _FACT_KEY, ["end", "val"], shares, own)
     loads.run_available(stream, state, load)
 
 
+def _load_tables(t: Tables, objects, feed) -> str:
+    """Load every table of a feed and return the folder they are in."""
+    parse, targets = feed
+    root, state = scratch(t.spark, "tables"), scratch(t.spark, "state")
+    load = loads.load_tables(root, parse, targets(), loads.stream_id(t.spark, state))
+    loads.run_available(loads.read_landed(t.spark, _land(t, objects), _LANDED, 8), state, load)
+    return root
+
+
+def _sums(t: Tables, root: str, name: str, *measures) -> DataFrame:
+    rows = loads.loaded(t.spark, f"{root}/{name}")
+    values = [m.cast("bigint") for m in measures] or [F.lit(0).cast("bigint")]
+    return rows.agg(
+        F.lit(name).alias("name"), F.count("*").alias("n"),
+        F.coalesce(F.sum(sum(values, F.lit(0).cast("bigint"))), F.lit(0)).alias("total"),
+    )
+
+
 @query("stream_land", sql("SELECT count(*) AS n FROM facts", "facts"))
 def stream_land(t: Tables):
     landed, target = _land(t), scratch(t.spark, "copied")
-    stream = loads.read_landed(t.spark, landed, "archive string, entry string, content string", 8)
+    stream = loads.read_landed(t.spark, landed, _LANDED, 8)
     loads.run_append(stream.select("entry"), target, scratch(t.spark, "state"))
     return t.spark.read.parquet(target).agg(F.count("*").alias("n"))
 
 
-@query("stream_equals_batch", sql("SELECT DISTINCT cik, accn, fy, form FROM facts", "facts"))
+@query("stream_equals_batch", sql(
+    """SELECT cik, accn, fy, form, true AS held FROM facts GROUP BY ALL""", "facts"))
 def stream_equals_batch(t: Tables):
+    """Each key once, holding the value and date of one of its observations."""
     target = scratch(t.spark, "shares")
-    _load_shares(t, _land(t), target, scratch(t.spark, "state"))
-    return t.spark.read.parquet(target).select(*_FACT_KEY)
+    _load_shares(t, _land(t), target)
+    seen = t.facts().select(*_FACT_KEY, F.col("quantity").cast("bigint").alias("val"), "end").distinct()
+    rows = loads.loaded(t.spark, target).join(seen.withColumn("held", F.lit(True)), [*_FACT_KEY, "val", "end"], "left")
+    return rows.select(*_FACT_KEY, F.coalesce("held", F.lit(False)).alias("held"))
+
+
+@query("stream_facts_tables", sql(
+    """SELECT 'shares_outstanding' AS name, count(DISTINCT (cik, accn, fy, form)) AS n FROM facts
+    UNION ALL SELECT 'stock_float', count(DISTINCT (cik, accn, fy, form)) FROM facts
+    UNION ALL SELECT 'accounting', count(DISTINCT (cik, type, u, "end", accn, fy, fp, form, frame)) FROM (
+        SELECT *, unit AS u FROM facts UNION ALL SELECT *, 'USD/shares' FROM facts)""", "facts"))
+def stream_facts_tables(t: Tables):
+    root = _load_tables(t, t.facts_json(), fed.FACTS)
+    each = [_sums(t, root, name) for name in fed.facts_targets()]
+    return reduce(DataFrame.unionByName, each).select("name", "n")
+
+
+@query("stream_submissions_tables", sql(
+    """SELECT 'company_filings' AS name, count(*) * 2 AS n, sum(size)::BIGINT * 2 AS total FROM filings
+        JOIN companies USING (cik)
+    UNION ALL SELECT 'company_meta', count(*), 0 FROM filings JOIN companies USING (cik)
+    UNION ALL SELECT 'addresses', count(DISTINCT cik) * 2, 0 FROM filings JOIN companies USING (cik)""",
+    "filings", "companies"))
+def stream_submissions_tables(t: Tables):
+    root = _load_tables(t, t.submissions_json(), fed.SUBMISSIONS)
+    return (
+        _sums(t, root, "company_filings", F.col("size"))
+        .unionByName(_sums(t, root, "company_meta"))
+        .unionByName(_sums(t, root, "addresses"))
+    )
 
 
 @query("restart", sql("SELECT count(DISTINCT (cik, accn, fy, form)) AS n FROM facts", "facts"))
 def restart(t: Tables):
     """Two runs with lost offsets between them: the second adds no row."""
     landed, target = _land(t), scratch(t.spark, "shares")
-    _load_shares(t, landed, target, scratch(t.spark, "state"))
-    first = t.spark.read.parquet(target).count()
-    stream = loads.read_landed(t.spark, landed, "archive string, entry string, content string", 8)
-
-    def again(batch, batch_id):
-        rows = flatten.shares_outstanding(feeds.company_facts(batch)).select(*_FACT_KEY, "val", "end")
-        loads.insert_ignore_batches(target, _FACT_KEY, ["val", "end"])(rows, 1000 + batch_id)
-
-    loads.run_available(stream, scratch(t.spark, "state"), again)
-    rows = t.spark.read.parquet(target)
+    _load_shares(t, landed, target)
+    first = loads.loaded(t.spark, target).count()
+    _load_shares(t, landed, target)
+    rows = loads.loaded(t.spark, target)
     return rows.agg(F.count("*").alias("n")).where(F.col("n") == first)
 
 

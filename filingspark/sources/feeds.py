@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from filingspark import schemas
 from filingspark.functions import clean, dates
+from filingspark.operators import keys
 from filingspark.operators.flatten import unnest
 
 
@@ -60,10 +61,15 @@ def news_pages(spark: SparkSession, path: str, lines: bool = False) -> DataFrame
     return spark.read.schema(schemas.ARTICLE).json(path, multiLine=not lines)
 
 
-def news_webhooks(spark: SparkSession, path: str) -> DataFrame:
-    """Landed webhook envelopes projected to article rows."""
+def news_webhooks(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Landed webhook envelopes projected to article rows.
+
+    A file holds one envelope over any number of lines, or a list of them; with
+    ``lines`` there is one on each line. What carries no article drops out.
+    """
     content = F.col("data.content")
-    return spark.read.schema(schemas.WEBHOOK).json(path).select(
+    envelopes = spark.read.schema(schemas.WEBHOOK).json(path, multiLine=not lines)
+    return envelopes.where("data.content.id is not null").select(
         F.col("id").alias("webhook_id"),
         "kind",
         F.col("data.action").alias("action"),
@@ -81,6 +87,35 @@ def news_webhooks(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def apply_webhooks(articles: DataFrame, webhooks: DataFrame) -> DataFrame:
+    """``articles`` after the events: the last one per id removes its article or replaces it.
+
+    Both have ``id`` and ``updated``, ``webhooks`` also ``action``: Removed or Deleted
+    takes the article out, any other action puts its row in place. Of one article's
+    events the latest by ``updated`` counts.
+    """
+    columns = articles.columns
+    last = keys.last_wins(webhooks.select(*columns, "action"), ["id"], ["updated"])
+    kept = articles.join(last.select("id"), "id", "left_anti").select(*columns)
+    gone = F.lower("action").isin("removed", "deleted")
+    return kept.unionByName(last.where(~F.coalesce(gone, F.lit(False))).select(*columns))
+
+
+def filing_bodies(spark: SparkSession, path: str, manifest: DataFrame) -> DataFrame:
+    """The manifest's rows with ``rawContent``, the text of the landed file of that name.
+
+    Files lie below ``path`` as ``<accessionNumber>/<filename>``. Only files named in the
+    manifest whose extension contains ``htm`` are kept; rows without a landed file drop out.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    parts = F.split("path", "/")
+    landed = files.select(
+        F.element_at(parts, -2).alias("accessionNumber"), F.element_at(parts, -1).alias("filename"),
+        F.decode("content", "UTF-8").alias("rawContent"),
+    )
+    return htm_files(manifest).join(landed, ["accessionNumber", "filename"])
+
+
 def price_history(df: DataFrame, content: str = "content") -> DataFrame:
     """Candle rows in epoch seconds; an empty reply gives no rows."""
     parsed = _parsed(df, content, schemas.PRICE_HISTORY)

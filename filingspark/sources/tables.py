@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filingspark import schemas
 from filingspark.operators import keys as K
+from filingspark.streaming.loads import read_or_none
 
 
 def empty(spark: SparkSession, table: str) -> DataFrame:
@@ -81,11 +81,9 @@ def insert_ignore_into(
     batch: DataFrame, path: str, keys: Sequence[str], order: Sequence[str]
 ) -> None:
     """Append the rows of ``batch`` whose key is neither stored nor seen earlier in it."""
-    spark = batch.sparkSession
-    try:
-        stored = spark.read.parquet(path)
-    except AnalysisException:
-        stored = spark.createDataFrame([], batch.schema)
+    stored = read_or_none(batch.sparkSession, path)
+    if stored is None:
+        stored = batch.sparkSession.createDataFrame([], batch.schema)
     K.insert_ignore(stored, batch, keys, order).write.mode("append").parquet(path)
 
 

@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import uuid
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from filingspark.operators import keys as K
 from filingspark.operators.keys import spread_join
 
+BUCKETS = 64
+LAYOUT = ("buckets", "stream", "batch", "bucket")
+OBJECTS_PER_FILE = 50_000
 
-def land(objects: DataFrame, path: str, chunks: int = 100) -> None:
-    """Write objects as about ``chunks`` files for a file stream, replacing earlier ones."""
-    objects.repartition(chunks).write.mode("overwrite").parquet(path)
+
+def land(objects: DataFrame, path: str, per_file: int = OBJECTS_PER_FILE) -> None:
+    """Write objects for a file stream, at most ``per_file`` to a file, replacing earlier ones."""
+    objects.write.mode("overwrite").option("maxRecordsPerFile", per_file).parquet(path)
 
 
 def read_landed(
@@ -37,11 +43,18 @@ def read_landed(
     return reader.parquet(path)
 
 
-def _stored(spark: SparkSession, target: str, schema, before: int) -> DataFrame:
+def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    """The stored table, or None where there is no such path or no file in it yet."""
     try:
-        return spark.read.parquet(target).where(F.col("batch") != before).drop("batch")
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
+        return spark.read.parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def _bucket(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
 def insert_ignore_batches(
@@ -49,25 +62,90 @@ def insert_ignore_batches(
     keys: Sequence[str],
     order: Sequence[str],
     transform: Callable[[DataFrame], DataFrame] = lambda df: df,
+    stream: str = "0",
+    buckets: int = BUCKETS,
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that appends unseen keys to ``target``.
 
-    Each batch owns the folder ``batch=<id>`` and replaces it, so a batch that is
-    run again after a failure leaves the same rows. Keys are checked against the
-    stored table, which needs no growing stream state. The transformed batch is
-    kept while it is loaded, as rows with and without NULL keys are read apart.
+    Each batch of each ``stream`` owns a folder and replaces it, so a batch that is run
+    again after a failure leaves the same rows, and two streams, or one that has lost its
+    checkpoint, never write over each other's; name streams by ``stream_id``. Rows lie in
+    folders by a hash of their key, and a batch reads the folders of its own keys only.
+    Folders written with another number of buckets are read whole. A target that was
+    written in some other way is read whole and appended to. The transformed batch is
+    kept while it is loaded. Two streams that load the same new key at the same moment
+    may both store it, as with any append without a lock.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         rows = transform(batch).persist()
-        stored = _stored(batch.sparkSession, target, rows.schema, batch_id)
-        new = K.insert_ignore(stored, rows, keys, order)
-        new.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
-        rows.unpersist()
+        try:
+            stored = read_or_none(spark, target)
+            owned = stored is None or set(LAYOUT) <= set(stored.columns)
+            if stored is None:
+                stored = spark.createDataFrame([], rows.schema)
+            elif owned:
+                touched = [r[0] for r in rows.select(_bucket(keys, buckets)).distinct().collect()]
+                mine = (F.col("stream") == stream) & (F.col("batch") == batch_id)
+                near = (F.col("buckets") != buckets) | F.col("bucket").isin(touched)
+                stored = stored.where(near & ~mine).drop(*LAYOUT)
+            new = K.insert_ignore(stored, rows, keys, order)
+            if owned:
+                placed = new.withColumn("bucket", _bucket(keys, buckets))
+                folder = f"{target}/buckets={buckets}/stream={stream}/batch={batch_id}"
+                placed.write.mode("overwrite").partitionBy("bucket").parquet(folder)
+            else:
+                new.write.mode("append").parquet(target)
+        finally:
+            rows.unpersist()
 
     return load
 
 
+def loaded(spark: SparkSession, target: str) -> DataFrame:
+    """The rows of a table that ``insert_ignore_batches`` has written, without its layout."""
+    return spark.read.parquet(target).drop(*LAYOUT)
+
+
+@dataclass(frozen=True)
+class Target:
+    """A table to be filled from a feed: how its rows come from a batch, and their key."""
+
+    rows: Callable[[DataFrame], DataFrame]
+    keys: Sequence[str]
+    order: Sequence[str]
+
+
+def load_tables(
+    root: str,
+    parse: Callable[[DataFrame], DataFrame],
+    targets: Mapping[str, Target],
+    stream: str = "0",
+) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that parses a batch once and fills every table below ``root``."""
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        parsed = parse(batch).persist()
+        try:
+            for name, t in targets.items():
+                insert_ignore_batches(f"{root}/{name}", t.keys, t.order, t.rows, stream)(parsed, batch_id)
+        finally:
+            parsed.unpersist()
+
+    return load
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """A name for the stream of a checkpoint, kept beside it; a new checkpoint gets a new one."""
+    path = f"{checkpoint.rstrip('/')}-id"
+    known = read_or_none(spark, path)
+    if known is None:
+        spark.createDataFrame([(uuid.uuid4().hex,)], "id string").write.mode("ignore").parquet(path)
+        known = spark.read.parquet(path)
+    return known.first()["id"]
+
+
 def run_available(stream: DataFrame, checkpoint: str, load: Callable) -> StreamingQuery:
     """Process everything that has landed, then stop; offsets live in ``checkpoint``."""
     query = (

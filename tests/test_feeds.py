@@ -105,8 +105,8 @@ def test_screener(spark, tmp_path):
 
 def test_news_page_and_children(spark, tmp_path):
     article = {
-        "id": 43, "author": "Desk", "created": "Wed, 22 Jan 2025 13:05:34 -0400",
-        "updated": "Wed, 22 Jan 2025 13:05:34 -0400", "title": "T", "teaser": " ", "body": "<h3>x</h3>",
+        "id": 43, "author": "Desk", "created": "Mon, 03 Jun 2024 04:15:00 -0400",
+        "updated": "Mon, 03 Jun 2024 04:15:00 -0400", "title": "T", "teaser": " ", "body": "<h3>x</h3>",
         "url": "u", "image": [{"size": "thumb", "url": "i"}], "channels": [{"name": "Movers"}],
         "stocks": [{"name": "A"}, {"name": "B"}], "tags": [],
     }
@@ -114,7 +114,7 @@ def test_news_page_and_children(spark, tmp_path):
     pages = feeds.news_pages(spark, str(tmp_path))
     normal = flatten.normalise_articles(pages).orderBy("id").collect()
     assert [(r.id, r.created, r.channels, r.stocks, r.tags) for r in normal] == [
-        (43, 1737565534, ["Movers"], ["A", "B"], []), (44, 1737565534, ["Movers"], ["A", "B"], []),
+        (43, 1717402500, ["Movers"], ["A", "B"], []), (44, 1717402500, ["Movers"], ["A", "B"], []),
     ]
     assert flatten.article_images(pages).count() == 2
     children = flatten.article_children(flatten.normalise_articles(pages), ["stocks", "tags"])
@@ -123,21 +123,25 @@ def test_news_page_and_children(spark, tmp_path):
 
 def test_webhook(spark, tmp_path):
     event = {
-        "id": "w", "kind": "News/v1", "data": {"action": "Created", "id": 9, "timestamp": "2025-01-24T22:05:18.240377931Z",
-        "content": {"id": 5, "created_at": "2025-01-24T22:05:17Z", "updated_at": "2025-01-24T22:05:17Z", "title": "T",
+        "id": "w", "kind": "News/v1", "data": {"action": "Created", "id": 9, "timestamp": "2024-06-03T08:15:01.5Z",
+        "content": {"id": 5, "created_at": "2024-06-03T08:15:00Z", "updated_at": "2024-06-03T08:15:00Z", "title": "T",
                     "body": "b", "authors": ["A", "B"], "teaser": " ", "url": "u", "tags": ["t"],
-                    "securities": [{"symbol": "OBK", "exchange": "NYSE", "primary": True}], "channels": ["C"]}},
+                    "securities": [{"symbol": "ZZT", "exchange": "NYSE", "primary": True}], "channels": ["C"]}},
     }
-    (tmp_path / "e.json").write_text(json.dumps(event) + "\n")
-    row = feeds.news_webhooks(spark, str(tmp_path)).first()
-    assert (row.id, row.author, row.created, row.stocks, row.action) == (5, "A, B", 1737756317, ["OBK"], "Created")
+    (tmp_path / "e.json").write_text(json.dumps(event, indent=2) + "\n")
+    (tmp_path / "f.json").write_text(json.dumps({"id": "no content", "kind": "x"}))
+    (row,) = feeds.news_webhooks(spark, str(tmp_path)).collect()
+    (tmp_path / "g").mkdir()
+    (tmp_path / "g/e.json").write_text(json.dumps(event) + "\n" + json.dumps(event) + "\n")
+    assert feeds.news_webhooks(spark, str(tmp_path / "g"), lines=True).count() == 2
+    assert (row.id, row.author, row.created, row.stocks, row.action) == (5, "A, B", 1717402500, ["ZZT"], "Created")
 
 
 def test_candles_and_hours(spark):
-    full = {"symbol": "A", "empty": False, "candles": [{"open": 392.1, "high": 392.39, "low": 391.7598, "close": 391.9999, "volume": 9567, "datetime": 1736518620000}]}
+    full = {"symbol": "A", "empty": False, "candles": [{"open": 10.5, "high": 11.25, "low": 10.0, "close": 11.0, "volume": 1200, "datetime": 1717402500000}]}
     empty = {"symbol": "B", "empty": True, "candles": []}
     found = feeds.price_history(as_rows(spark, json.dumps(full), json.dumps(empty))).collect()
-    assert [(r.ticker, r.datetime, r.volume) for r in found] == [("A", 1736518620, 9567)]
+    assert [(r.ticker, r.datetime, r.volume) for r in found] == [("A", 1717402500, 1200)]
     open_day = {"equity": {"EQ": {"isOpen": True, "sessionHours": {"regularMarket": [{"start": "2025-01-10T09:30:00-05:00", "end": "2025-01-10T16:00:00-05:00"}]}}}}
     holiday = {"equity": {"EQ": {"isOpen": False}}}
     weekend = {"equity": {"equity": {"isOpen": False}}}
@@ -155,7 +159,7 @@ def test_zip_scan(spark, tmp_path):
         for i in range(23):
             z.writestr(f"CIK{i}.json", company(i))
         z.writestr("placeholder.txt", "nothing")
-    found = archives.zip_scan(spark, str(path), slices=5)
+    found = archives.zip_scan(spark, str(path), slice_bytes=700)
     assert sorted(r.entry for r in found.collect()) == sorted(f"CIK{i}.json" for i in range(23))
     assert feeds.company_facts(found).select("cik").distinct().count() == 23
 
@@ -163,7 +167,7 @@ def test_zip_scan(spark, tmp_path):
 def test_archives_round_trip(spark, tmp_path):
     df = spark.range(50).select(F.concat(F.lit("e"), "id").alias("entry"), F.concat(F.lit("ü"), "id").alias("content"))
     archives.write_archives(df.repartition(3), str(tmp_path / "z"))
-    back = archives.zip_scan(spark, f"{tmp_path}/z/*.zip", slices=4).select("entry", "content")
+    back = archives.zip_scan(spark, f"{tmp_path}/z/*.zip", slice_bytes=500).select("entry", "content")
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
 
 

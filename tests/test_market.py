@@ -123,14 +123,16 @@ def test_table_query(spark):
     assert Q.table_query(df, where=[("a", "gt", None)]).count() == 4
     assert [r.c for r in Q.table_query(df, ["c"], distinct=True, sort="c", descending=False).collect()] == [1, 2, 3]
     assert [r.a for r in Q.table_query(df, ["a"], sort="c", limit=1, descending=False).collect()] == [0]
+    least = Q.table_query(df, ["a", "b", "c"], distinct="a", sort="a", descending=False).collect()
+    assert [tuple(r) for r in least] == [(0, "", 3), (1, "b", 2)]
 
 
-def test_news_feed_limits(spark):
+def test_windows_need_an_end(spark):
     df = spark.createDataFrame([], "id int, ticker string")
     with pytest.raises(ValueError):
-        Q.news_feed(df, tickers=[str(i) for i in range(51)])
+        Q.news_feed(df, page=-1)
     with pytest.raises(ValueError):
-        Q.news_feed(df, page=100)
+        Q.paged_query(df, "true", ["id"], ["id"], offset=5)
 
 
 def test_news_feed_topics_and_paging(spark):

@@ -34,9 +34,46 @@ def test_batch_can_run_again(spark, tmp_path):
     load(batch, 0)
     load(batch, 0)  # the same batch after a failure
     load(batch, 1)  # the same rows in a later batch
+    with_null = spark.createDataFrame([(None, "n", 1), (2, "late", 9)], SCHEMA)
+    load(with_null, 2)
+    load(with_null, 2)
+    assert sorted(r.v for r in loads.loaded(spark, target).collect()) == ["a", "c", "n"]
+    load(batch.limit(0), 2)  # the folder of a batch holds its last run only
     assert sorted(r.v for r in spark.read.parquet(target).collect()) == ["a", "c"]
 
 
+def test_two_feeds_keep_all_rows(spark, tmp_path):
+    target = str(tmp_path / "out")
+    rows = {"a": range(10), "b": range(8, 15)}
+    for name, ids in rows.items():
+        state = str(tmp_path / f"state-{name}")
+        own = loads.stream_id(spark, state)
+        assert own == loads.stream_id(spark, state)
+        load = loads.insert_ignore_batches(target, ["k"], ["seq"], stream=own)
+        load(spark.createDataFrame([(i, name, i) for i in ids], SCHEMA), 0)
+    stored = {r.k: r.v for r in loads.loaded(spark, target).collect()}
+    assert stored == {i: "a" if i < 10 else "b" for i in range(15)}
+
+
+def test_other_layouts_are_read(spark, tmp_path):
+    plain, other = str(tmp_path / "plain"), str(tmp_path / "other")
+    batch = spark.createDataFrame([(1, "a", 1), (2, "c", 3)], SCHEMA)
+    batch.limit(1).write.parquet(plain)
+    loads.insert_ignore_batches(plain, ["k"], ["seq"])(batch, 0)
+    assert spark.read.parquet(plain).count() == 2
+    loads.insert_ignore_batches(other, ["k"], ["seq"], stream="x", buckets=3)(batch, 0)
+    loads.insert_ignore_batches(other, ["k"], ["seq"], stream="y", buckets=5)(batch, 0)
+    assert loads.loaded(spark, other).count() == 2
+
+
+def test_only_touched_buckets_are_read(spark, tmp_path):
+    target = str(tmp_path / "out")
+    load = loads.insert_ignore_batches(target, ["k"], ["seq"])
+    load(spark.createDataFrame([(i, "a", i) for i in range(200)], SCHEMA), 0)
+    touched = spark.read.parquet(target).where(loads._bucket(["k"], loads.BUCKETS) == F.col("bucket"))
+    assert touched.count() == 200
+
+
 def test_dedupe_stream(spark, tmp_path):
     source, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
     land(spark, source, 0, 20)

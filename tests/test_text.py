@@ -27,6 +27,16 @@ def test_html(spark):
     assert strings(spark, "<script>var b='<b>no</b>'</script><B class='q'>yes<!-- <i>hid</i> --><style>p{}</style> \t</B>") == ["yes"]
 
 
+def test_entities(spark):
+    text = "<b>x</b>A&#8217;s &#x2019; &mdash; &eacute;&amp;eacute; &#151; &#0; &#55296; &bogus; & &; AT&T &#128512;"
+    assert strings(spark, text) == ["x", "A\u2019s \u2019 \u2014 é&eacute; \u2014 \ufffd \ufffd &bogus; & &; AT&T \U0001f600"]
+
+
+def test_pages_without_header(spark):
+    page = "<p>note: one</p>\n<p>a:b</p>\n" * 20_000
+    assert X.sgml_header(docs(spark, page, None, ""), "id", "text").count() == 0
+
+
 HEADER = (
     "<SEC-HEADER>\nACCESSION NUMBER:\t\t0001\nFILER:\n\n\tCOMPANY DATA:\t\n\t\tNAME:\t\t\tA: B\n"
     "\tFORMER COMPANY:\n\t\tOLD:\tx\n\tFORMER COMPANY:\n\t\tOLD:\ty\n\tFORMER COMPANY:\n\t\tOLD:\tz\n"
