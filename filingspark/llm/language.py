@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filingspark.llm.shingles import slices
-from filingspark.llm.spans import LETTER, coded, kinds_of
+from filingspark.llm.spans import LETTER, coded, kinds_of, listed
 
 UNKNOWN = "und"
 LONGEST_PIECE = 16
@@ -144,7 +144,7 @@ def _runs(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, list[b
         owner = np.searchsorted(opens, starts, side="right") - 1
         is_word = np.zeros(len(found), dtype=bool)
         is_word[codes] = letter[at]
-        yield first, owner, codes, found.to_pylist(), is_word
+        yield first, owner, codes, listed(found), is_word
 
 
 def _counts(langs: list[str], path: str):

@@ -40,3 +40,11 @@ def coded(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, pa.Array]:
     )
     found = spans.dictionary_encode()
     return found.indices.to_numpy(), found.dictionary
+
+
+def listed(spans: pa.Array) -> list[bytes]:
+    """The members of a binary array, cut from its buffer."""
+    _, at, body = spans.buffers()
+    offsets = np.frombuffer(at, dtype=np.int32)[spans.offset : spans.offset + len(spans) + 1].tolist()
+    raw = body.to_pybytes() if body is not None else b""
+    return [raw[a:b] for a, b in zip(offsets, offsets[1:])]

@@ -5,15 +5,16 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 
 from filingspark.llm.shingles import slices
-from filingspark.llm.spans import LETTER, SPACE, coded, kinds_of
+from filingspark.llm.spans import LETTER, SPACE, coded, kinds_of, listed
 
-CACHED_WORDS = 400_000
-TEXT_BYTES = 1 << 21
+CACHED_WORDS = 1_000_000
+TEXT_BYTES = 1 << 22
 BLANK, APOSTROPHE = 0x20, 0x27
 # Endings that the vocabulary's word pattern keeps with their apostrophe.
 ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
@@ -85,17 +86,18 @@ class Encoder:
     def _numbers(self, words: list[bytes]) -> np.ndarray:
         if len(self.known) + len(words) > CACHED_WORDS:
             self._reset()
-        fresh = [w for w in words if w not in self.known]
+        numbers = list(map(self.known.get, words))
+        fresh = [w for w, n in zip(words, numbers) if n is None]
         if fresh:
-            found = self.encode.encode_batch_fast([w.decode() for w in fresh], add_special_tokens=False)
+            found = self.encode.encode_batch_fast(list(map(bytes.decode, fresh)), add_special_tokens=False)
             ids = [f.ids for f in found]
-            lengths = np.array([len(i) for i in ids], dtype=np.int64)
+            lengths = np.fromiter(map(len, ids), np.int64, len(ids))
             self.begin = np.append(self.begin, len(self.flat) + np.cumsum(lengths) - lengths)
             self.length = np.append(self.length, lengths)
-            self.flat = np.append(self.flat, np.array([x for i in ids for x in i], dtype=np.uint32))
-            base = len(self.known)
-            self.known.update(zip(fresh, range(base, base + len(fresh))))
-        return np.array([self.known[w] for w in words], dtype=np.int64)
+            self.flat = np.append(self.flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum())))
+            self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh))))
+            numbers = list(map(self.known.get, words))
+        return np.array(numbers, dtype=np.int64)
 
     def ids(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text, as the tokenizer gives them; none for NULL."""
@@ -109,7 +111,7 @@ class Encoder:
             inner = np.searchsorted(places, opens[:-1][opens[:-1] < len(data)])
             starts = places[word_starts(points, kinds, inner)]
             codes, words = coded(data, starts)
-            number = self._numbers(words.to_pylist())[codes]
+            number = self._numbers(listed(words))[codes]
             lengths = self.length[number]
             ends = np.cumsum(lengths)
             gather = np.arange(int(ends[-1])) + np.repeat(self.begin[number] - ends + lengths, lengths)
@@ -120,7 +122,8 @@ class Encoder:
             for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
                 text = raw[opens[i] : opens[i + 1]] if odd else b""
                 if odd and any(s.encode() in text for s in self.special):
-                    yield np.array(self.encode.encode(text.decode(), add_special_tokens=False).ids, dtype=np.uint32)
+                    own = self.encode.encode(text.decode(), add_special_tokens=False).ids
+                    yield np.array(own, dtype=np.uint32)
                 else:
                     yield flat[a:b]
 
