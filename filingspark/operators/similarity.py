@@ -138,7 +138,8 @@ def _cells(reps: DataFrame, threshold: float) -> DataFrame:
                  "id": out["id"].to_numpy(), "vec": out["vec"].to_numpy()}
             )
 
-    return reps.mapInPandas(run, "cell int, home boolean, id bigint, vec array<float>")
+    kinds = dict(reps.dtypes)
+    return reps.mapInPandas(run, f"cell int, home boolean, id {kinds['id']}, vec {kinds['vec']}")
 
 
 def _tiles(cells: DataFrame) -> DataFrame:
@@ -171,7 +172,8 @@ def _tile_hits(tile: pd.DataFrame, threshold: float) -> tuple[np.ndarray, ...]:
 def _pairs_of(threshold: float) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def run(tile: pd.DataFrame) -> pd.DataFrame:
         a, b, score = _tile_hits(tile, threshold)
-        return pd.DataFrame({"id_a": np.maximum(a, b), "id_b": np.minimum(a, b), "score": score})
+        later = a > b
+        return pd.DataFrame({"id_a": np.where(later, a, b), "id_b": np.where(later, b, a), "score": score})
 
     return run
 
@@ -204,14 +206,19 @@ def _links_of(threshold: float) -> Callable[[pd.DataFrame], pd.DataFrame]:
 def _joined(
     vectors: DataFrame, key: str, vector: str, threshold: float, find: Callable
 ) -> DataFrame:
-    """Edges among distinct vectors found by ``find`` per tile, and one from each exact copy."""
-    rows = vectors.select(F.col(key).cast("bigint").alias("id"), F.col(vector).alias("vec"))
+    """Edges among distinct vectors found by ``find`` per tile, and one from each exact copy.
+
+    Ids may be numbers or text. Rows without an id or a whole vector take no part.
+    """
+    whole = F.col(key).isNotNull() & F.col(vector).isNotNull() & F.forall(vector, lambda x: x.isNotNull())
+    rows = vectors.where(whole).select(F.col(key).alias("id"), F.col(vector).alias("vec"))
+    kind = dict(rows.dtypes)["id"]
     grouped = rows.groupBy("vec").agg(F.min("id").alias("rep"), F.count("*").alias("_n"))
     reps = checkpoint(grouped)
     distinct = reps.select(F.col("rep").alias("id"), "vec")
     tiles = _tiles(_cells(distinct, threshold))
     edges = tiles.groupBy("cell", "p", "q").applyInPandas(
-        find(threshold), "id_a bigint, id_b bigint, score double"
+        find(threshold), f"id_a {kind}, id_b {kind}, score double"
     )
     copied = reps.where("_n > 1")
     copies = spread_join(
@@ -239,7 +246,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """
     high, low = F.greatest("id_a", "id_b").alias("u"), F.least("id_a", "id_b").alias("v")
     current = checkpoint(edges.select(high, low).where("u <> v").distinct())
-    mark = F.struct(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.col("v").cast("decimal(38,0)")))
+    mark = F.struct(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("v").cast("decimal(38,0)")))
     seen = current.agg(mark).first()[0]
 
     def lowest(links: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from functools import reduce
 from html.entities import html5
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from filingspark.functions import clean, vectors
@@ -22,6 +22,7 @@ _CUT = "\u0001"
 _WORD = re.compile(r"[^\W_]+")
 CHUNK_SIZE = 768
 SPANS_PER_BATCH = 50_000
+MOST_NAMES = 200_000
 SEPARATORS = ("\n\n", "\n", " ", "")
 
 
@@ -314,18 +315,47 @@ def spans(df: DataFrame, key: str, text: str, max_words: int = 1) -> DataFrame:
     return df.select(key, text).mapInPandas(run, schema)
 
 
+def _found_in_rows(df: DataFrame, key: str, text: str, labels: Mapping[str, str], max_words: int) -> DataFrame:
+    """The hits of ``spans`` among ``labels``, looked up while the words are in their row."""
+    schema = f"{key} {dict(df.dtypes)[key]}, start int, end int, text string, label string"
+    first = {name.split(" ", 1)[0] for name in labels}
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for k, body in zip(batch[key], batch[text]):
+                body = body or ""
+                bounds = [m.span() for m in _WORD.finditer(body)]
+                for i, (start, stop) in enumerate(bounds):
+                    if body[start:stop].lower() not in first:
+                        continue
+                    for _, end in bounds[i : i + max_words]:
+                        label = labels.get(body[start:end].lower())
+                        if label is not None:
+                            rows.append((k, start, end, body[start:end], label))
+            yield pd.DataFrame(rows, columns=[key, "start", "end", "text", "label"])
+
+    return df.select(key, text).mapInPandas(run, schema)
+
+
 def mentions(
-    df: DataFrame, key: str, text: str, gazetteer: DataFrame, max_words: int = 1
+    df: DataFrame, key: str, text: str, gazetteer: DataFrame, max_words: int = 1, most_names: int = MOST_NAMES
 ) -> DataFrame:
     """Occurrences of gazetteer names ``(name, label)``, case-insensitive, each with an id.
 
-    Words are counted ahead (without making spans), and spans that begin with a
-    very common word are spread over tasks.
+    Up to ``most_names`` names go along with the tasks, which read each text once and
+    emit hits only. A longer list is joined instead: words are counted ahead (without
+    making spans), and spans that begin with a very common word are spread over tasks.
     """
-    found = spans(df, key, text, max_words).withColumn("_name", F.lower("text"))
-    names = gazetteer.select(F.lower("name").alias("_name"), "label").groupBy("_name").agg(
+    names = gazetteer.select(F.lower("name").alias("_name"), "label").where("_name is not null").groupBy("_name").agg(
         F.min("label").alias("label")
     )
+    digest = F.sha2(F.concat_ws("|", F.col(key).cast("string"), "start", "end"), 256)
+    few = names.limit(most_names + 1).collect()  # the check of the size
+    if len(few) <= most_names:
+        hits = _found_in_rows(df, key, text, {r["_name"]: r["label"] for r in few}, max_words)
+        return hits.select(key, digest.alias("mention_id"), "text", "label", "start", "end")
+    found = spans(df, key, text, max_words).withColumn("_name", F.lower("text"))
     first = F.split_part("_name", F.lit(" "), F.lit(1)).alias("_first")
     words = df.select(F.explode(tokens(F.col(text))).alias("_first"))
     hits = spread_join(
@@ -335,23 +365,27 @@ def mentions(
         spread_on=[key, "start"],
         counts=words.groupBy("_first").agg(F.count("*").alias("_n")),
     )
-    digest = F.sha2(F.concat_ws("|", F.col(key).cast("string"), "start", "end"), 256)
     return hits.select(key, digest.alias("mention_id"), "text", "label", "start", "end")
 
 
 def entity_pairs(found: DataFrame, df: DataFrame, key: str, text: str) -> DataFrame:
-    """Each mention with the next one of its text and the snippet between them."""
-    order = Window.partitionBy(key).orderBy("start", "end")
-    following = F.lead(F.struct("mention_id", "start")).over(order)
-    pairs = found.withColumn("_next", following).where("_next IS NOT NULL").select(
-        key, F.col("mention_id").alias("head_id"), F.col("_next.mention_id").alias("tail_id"),
-        (F.col("end") + 1).alias("_from"), (F.col("_next.start") - 1).alias("_to"),
-    )
-    body = df.select(key, F.col(text).alias("_text"))
-    length = F.greatest(F.col("_to") - F.col("_from"), F.lit(0))
-    return pairs.join(body, key).select(
-        key, "head_id", "tail_id", F.substring("_text", F.col("_from") + 1, length).alias("snippet")
-    )
+    """Each mention with the next one of its text and the snippet between them.
+
+    A text's mentions are gathered, as many as it has, so the text itself is joined once.
+    """
+    listed = F.sort_array(F.collect_list(F.struct("start", "end", "mention_id")))
+    per_text = found.groupBy(key).agg(listed.alias("_m")).where(F.size("_m") > 1)
+    body = df.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+
+    def pair(head: Column, at: Column) -> Column:
+        tail = F.get("_m", at + 1)
+        length = F.greatest(tail["start"] - 2 - head["end"], F.lit(0))
+        snippet = F.substring(F.col("_text"), head["end"] + 2, length)
+        return F.struct(head["mention_id"].alias("head_id"), tail["mention_id"].alias("tail_id"), snippet.alias("snippet"))
+
+    heads = F.slice("_m", F.lit(1), F.size("_m") - 1)
+    joined = per_text.join(body, F.col(key) == F.col("_key"))
+    return joined.select(key, F.inline(F.transform(heads, pair)))
 
 
 def relation_labels(

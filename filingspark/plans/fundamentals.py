@@ -150,7 +150,7 @@ def screener_clean(t: Tables):
 def zip_scan(t: Tables):
     path = scratch(t.spark, "zip")
     archives.write_archives(t.facts_json(), path)
-    found = archives.zip_scan(t.spark, f"{path}/*.zip", slice_bytes=64 << 10)
+    found = archives.zip_scan(t.spark, f"{path}/*.zip", slice_bytes=1 << 20)
     filing = F.substring_index("entry", "-", 4)
     cik = F.from_json("content", "cik bigint")["cik"]
     return found.groupBy(filing.alias("filing")).agg(F.count(cik).alias("n"))

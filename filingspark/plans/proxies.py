@@ -235,10 +235,15 @@ class Tables:
         )
 
     def gazetteer(self) -> DataFrame:
-        """Long words of the benchmark texts, each with the same label."""
-        word = F.explode(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))
-        words = self["benchmark"].select(word.alias("name")).where(F.length("name") >= 9).distinct()
-        return words.withColumn("label", F.lit("TERM"))
+        """Long words of the benchmark texts, and neighbouring words of some length, by label."""
+        words = F.split(F.lower("text"), r"[^\p{L}\p{N}]+")
+        listed = self["benchmark"].select(words.alias("w"))
+        single = listed.select(F.explode("w").alias("name")).where(F.length("name") >= 9)
+        two = F.zip_with("w", F.slice("w", F.lit(2), F.size("w")), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+        pairs = listed.select(F.inline(two)).where("length(a) >= 5 and length(b) >= 5")
+        return single.distinct().withColumn("label", F.lit("TERM")).unionByName(
+            pairs.select(F.concat_ws(" ", "a", "b").alias("name")).distinct().withColumn("label", F.lit("PAIR"))
+        )
 
 
 CTE = {
@@ -276,7 +281,10 @@ CTE = {
         CAST(epoch(CAST(ts AS DATE)) AS BIGINT) + 52200 AS start,
         CAST(epoch(CAST(ts AS DATE)) AS BIGINT) + 75600 AS "end" FROM events""",
     "gazetteer": """SELECT DISTINCT name, 'TERM' AS label FROM (SELECT unnest(regexp_split_to_array(
-        lower(text), '[^\\p{L}\\p{N}]+')) AS name FROM benchmark) WHERE length(name) >= 9""",
+        lower(text), '[^\\p{L}\\p{N}]+')) AS name FROM benchmark) WHERE length(name) >= 9
+        UNION ALL SELECT DISTINCT a || ' ' || b, 'PAIR' FROM (SELECT unnest(w) AS a,
+            unnest(list_append(w[2:], NULL)) AS b FROM (SELECT regexp_split_to_array(lower(text),
+            '[^\\p{L}\\p{N}]+') AS w FROM benchmark)) WHERE length(a) >= 5 AND length(b) >= 5""",
 }
 _NEEDS = {"candles": ["candles_raw"], "screener": ["companies"]}
 

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from filingspark.session import ship
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -24,7 +26,8 @@ def query(name: str, sql: str | None = None) -> Callable[[Callable], Callable]:
 
     def register(build: Callable[[Tables], DataFrame]) -> Callable:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            spark.conf.set("spark.sql.session.timeZone", "UTC")  # dates as text are UTC, as in the SQL twins
+            ship(spark)
             return plain(build(Tables(spark, sf_dir)))
 
         QUERIES[name] = run

@@ -47,8 +47,8 @@ _SCORED = f"""SELECT query, vec_id, label, {_cosine_sql('embedding', 'qv')} AS s
         SELECT page_id, list_transform(string_split(regexp_replace(regexp_extract(regexp_replace(html,
             '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->', '<>', 'g'),
             '(?is)<b(?:\s[^>]*)?>(.*)$', 1), '<[^>]*>', chr(1), 'g'), chr(1)),
-            lambda s: translate(replace(replace(replace(replace(replace(replace(replace(replace(replace(s,
-            '&nbsp;', ' '), '&#160;', ' '), '&#8203;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'),
+            lambda s: translate(replace(replace(replace(replace(replace(replace(replace(replace(replace(
+            replace(replace(s, '&copy;', '©'), '&middot;', '·'), '&nbsp;', ' '), '&#160;', ' '), '&#8203;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'),
             '&#39;', ''''), '&apos;', ''''), '&amp;', '&'), chr(160) || chr(8203), '  ')) AS nodes FROM pages))
     WHERE regexp_matches(text, '\S')""")
 def html_text(t: Tables):
@@ -61,9 +61,40 @@ def chunk_fixed(t: Tables):
     return X.chunk_fixed(t.dealt("documents"), "doc_id", "text")
 
 
-@query("chunk_recursive")
+@query("chunk_recursive", r"""SELECT doc_id, true AS fits, md5(regexp_replace(text, '\s', '', 'g')) AS digest
+    FROM documents WHERE regexp_matches(text, '\S')""")
 def chunk_recursive(t: Tables):
-    return X.chunk_recursive(t.dealt("documents"), "doc_id", "text", "source")
+    """Per document: whether all chunks fit, and a digest of their text without white space."""
+    chunks = X.chunk_recursive(t.dealt("documents"), "doc_id", "text", "source")
+    ordered = F.array_sort(F.collect_list(F.struct("chunk", F.regexp_replace("content", r"\s", "").alias("text"))))
+    return chunks.groupBy("doc_id").agg(
+        (F.max(F.length("content")) <= X.CHUNK_SIZE).alias("fits"),
+        F.md5(F.array_join(F.transform(ordered, lambda c: c["text"]), "")).alias("digest"),
+    )
+
+
+def _digest_encoder():
+    """A stand-in for a neural encoder that any engine can repeat: eight bytes of a digest."""
+    from hashlib import md5
+
+    return lambda texts: [[b / 255.0 for b in md5(x.encode()).digest()[:8]] for x in texts]
+
+
+_CHUNKED = """SELECT doc_id, i::INTEGER AS chunk, substr(text, i * 768 + 1, 768) AS content
+    FROM (SELECT doc_id, text, unnest(range((length(text) + 767) // 768)) AS i FROM documents)"""
+_DIGEST_SQL = "list_transform(range(8), lambda i: ('0x' || substr(md5(content), 2 * i + 1, 2))::INTEGER / 255.0)"
+
+
+@query("vectorise", f"""SELECT doc_id AS uri, chunk, length(content)::INTEGER AS n,
+    round(list_sum({_DIGEST_SQL})::DOUBLE, 3) AS total FROM ({_CHUNKED}) WHERE regexp_matches(content, '\\S')""")
+def vectorise(t: Tables):
+    """Chunk, embed and store; a second run over the same documents adds nothing."""
+    target = scratch(t.spark, "filing_vectors")
+    for _ in range(2):
+        store.vectorise_into(t["documents"], "doc_id", "text", target, _digest_encoder)
+    total = F.aggregate("content_vector", F.lit(0.0), lambda s, x: s + x)
+    rows = t.spark.read.parquet(target)
+    return rows.select(F.col("doc_id").alias("uri"), "chunk", F.length("content").alias("n"), F.round(total, 3).alias("total"))
 
 
 _TOKENS = r"list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '')"
@@ -128,8 +159,12 @@ def bm25(t: Tables):
 
 _MENTIONS = r"""runs AS (SELECT doc_id, generate_subscripts(r, 1) AS i, unnest(r) AS run FROM (
         SELECT doc_id, regexp_extract_all(text, '[\p{L}\p{N}]+|[^\p{L}\p{N}]+') AS r FROM documents)),
-    spans AS (SELECT doc_id, run AS text, CAST(sum(length(run)) OVER (PARTITION BY doc_id ORDER BY i) AS INTEGER)
-        AS "end" FROM runs),
+    placed AS (SELECT *, sum(length(run)) OVER (PARTITION BY doc_id ORDER BY i) AS stop,
+        lead(run) OVER (PARTITION BY doc_id ORDER BY i) AS gap,
+        lead(run, 2) OVER (PARTITION BY doc_id ORDER BY i) AS after FROM runs),
+    spans AS (SELECT doc_id, run AS text, CAST(stop AS INTEGER) AS "end" FROM placed
+        UNION ALL SELECT doc_id, run || ' ' || after, CAST(stop + 1 + length(after) AS INTEGER) FROM placed
+        WHERE gap = ' '),
     found AS (SELECT doc_id, s.text, g.label, ("end" - length(s.text))::INTEGER AS start, "end"
         FROM spans s JOIN gazetteer g ON g.name = lower(s.text))"""
 
@@ -137,7 +172,7 @@ _MENTIONS = r"""runs AS (SELECT doc_id, generate_subscripts(r, 1) AS i, unnest(r
 @query("mentions", sql("", "gazetteer").rstrip() + ",\n" + _MENTIONS + """
     SELECT doc_id, sha256(doc_id || '|' || start || '|' || "end") AS mention_id, text, label, start, "end" FROM found""")
 def mentions(t: Tables):
-    return X.mentions(t.dealt("documents"), "doc_id", "text", t.gazetteer())
+    return X.mentions(t.dealt("documents"), "doc_id", "text", t.gazetteer(), max_words=2)
 
 
 @query("entity_pairs", sql("", "gazetteer").rstrip() + ",\n" + _MENTIONS + """
@@ -148,7 +183,7 @@ def mentions(t: Tables):
         FROM found) JOIN documents d USING (doc_id) WHERE n IS NOT NULL""")
 def entity_pairs(t: Tables):
     documents = t.dealt("documents")
-    found = X.mentions(documents, "doc_id", "text", t.gazetteer())
+    found = X.mentions(documents, "doc_id", "text", t.gazetteer(), max_words=2)
     return X.entity_pairs(found, documents, "doc_id", "text")
 
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from importlib import metadata
 
 from pyspark.sql import SparkSession
 
@@ -26,7 +29,9 @@ def build_session(master: str | None = None, app: str = "filingspark", **conf: s
     settings = DEFAULTS | {k.replace("__", "."): v for k, v in conf.items()}
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship(spark)
+    return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -47,6 +52,33 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's code to the Python workers, once per application.
+
+    Nothing is sent where the package is installed.
+    """
+    if spark.sparkContext.applicationId in _shipped:
+        return
+    _shipped.add(spark.sparkContext.applicationId)
+    try:
+        metadata.distribution("filingspark")
+        return
+    except metadata.PackageNotFoundError:
+        pass
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="filingspark-code-"), "filingspark.zip")  # on the driver
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(root)))
+    spark.sparkContext.addPyFile(archive)
+
+
 _homes: dict[tuple[str, str], str] = {}
 
 

@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 from filingspark import schemas
 from filingspark.operators import keys as K
+from filingspark.operators.similarity import embed_with
+from filingspark.operators.text import CHUNK_SIZE, chunk_fixed
 from filingspark.streaming.loads import read_or_none
 
 
@@ -87,6 +89,22 @@ def insert_ignore_into(
     K.insert_ignore(stored, batch, keys, order).write.mode("append").parquet(path)
 
 
+def vectorise_into(
+    documents: DataFrame, key: str, text: str, path: str, load: Callable, size: int = CHUNK_SIZE
+) -> None:
+    """Chunk the documents not stored yet, embed the chunks and append them to ``path``.
+
+    ``load`` makes the encoder, once per task; blank chunks are not embedded. A document
+    is stored with all its chunks in one commit, so its key tells whether it is done.
+    """
+    done = read_or_none(documents.sparkSession, path)
+    if done is not None:
+        documents = documents.join(done.select(key).distinct(), key, "left_anti")
+    chunks = chunk_fixed(documents, key, text, size).where(F.col("content").rlike(r"\S"))
+    embedded = embed_with(chunks, "content", load).withColumnRenamed("embedding", "content_vector")
+    embedded.write.mode("append").parquet(path)
+
+
 def snapshot(df: DataFrame, path: str) -> DataFrame:
     """Store ``df`` whole and hand back the stored copy."""
     df.write.mode("overwrite").parquet(path)
