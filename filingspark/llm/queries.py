@@ -11,6 +11,7 @@ from filingspark.llm import (
     ball_tree, language, licences, merkle, mixing, packing, parity_join, shards, spot_signatures, url_rules,
 )
 from filingspark.llm.tables import table
+from filingspark.session import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -18,7 +19,11 @@ SQL: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def register(build: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[name] = build
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return build(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             SQL[name] = sql
         return build
