@@ -20,7 +20,6 @@ from filingspark.session import checkpoint
 
 TILE_ROWS = 2048
 ROWS_PER_CELL = 16_384
-MAX_CELLS = 1024
 
 
 def scores(
@@ -116,8 +115,8 @@ def _cells(reps: DataFrame, threshold: float) -> DataFrame:
     there. Only lower cells are visited, which meets every pair once.
     """
     count = reps.count()
-    wanted = max(1, min(MAX_CELLS, count // ROWS_PER_CELL))
-    picked = reps.orderBy(F.xxhash64("id"), "id").limit(wanted).toPandas()  # at most MAX_CELLS rows
+    wanted = max(1, min(math.isqrt(count), 2 + count // ROWS_PER_CELL))
+    picked = reps.orderBy(F.xxhash64("id"), "id").limit(wanted).toPandas()  # root of the rows at most
     anchors = _unit_rows(picked["vec"]) if len(picked) else np.zeros((1, 1))
     radius = math.sqrt(max(0.0, 2.0 - 2.0 * threshold)) + 1e-9
 
@@ -146,7 +145,7 @@ def _tiles(cells: DataFrame) -> DataFrame:
     """Cut each cell into blocks of ``TILE_ROWS`` and send rows to all block pairs they belong to."""
     blocks = cells.groupBy("cell").agg(F.ceil(F.count("*") / TILE_ROWS).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    placed = cells.join(F.broadcast(blocks), "cell").withColumn("own", own)  # MAX_CELLS rows at most
+    placed = cells.join(F.broadcast(blocks), "cell").withColumn("own", own)  # a row per cell
     return (
         placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumns({"p": F.least("own", "other"), "q": F.greatest("own", "other")})

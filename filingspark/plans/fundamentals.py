@@ -249,8 +249,8 @@ def table_query(t: Tables):
     """SELECT cik, accessionNumber, form FROM filings WHERE cik IN ('0000000001', '0000000044')""", "filings"))
 def clustered_read(t: Tables):
     path = scratch(t.spark, "clustered")
-    store.write_clustered(t.filings(), path, "cik", ["form"], buckets=8, files_per_bucket=2)
-    rows = store.read_clustered(t.spark, path, "cik", ["0000000001", "0000000044"], buckets=8)
+    store.write_clustered(t.filings(), path, "cik", ["form"], buckets=8)
+    rows = store.read_clustered(t.spark, path, "cik", ["0000000001", "0000000044"])
     return rows.select("cik", "accessionNumber", "form")
 
 

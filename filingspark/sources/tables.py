@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,8 +49,8 @@ def append(df: DataFrame, path: str) -> None:
     blank_to_null(df).write.mode("append").parquet(path)
 
 
-def _bucket(key: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+def _bucket(key: Column, buckets: Column) -> Column:
+    return F.pmod(F.xxhash64(key), buckets).cast("int")
 
 
 def write_clustered(
@@ -58,25 +59,23 @@ def write_clustered(
     key: str = "cik",
     sort: Sequence[str] = (),
     buckets: int = 256,
-    files_per_bucket: int = 4,
 ) -> None:
     """Write with a folder per hash bucket of ``key``, rows sorted by key within files.
 
-    Rows of a bucket are dealt to several files, so a company with very many
-    rows is not written by one task.
+    Tasks are cut by size as the plan runs, so a company with very many rows is
+    written by several and small buckets share one. The number of buckets is stored
+    with the rows. A rerun replaces the table.
     """
-    rows = df.withColumn("bucket", _bucket(F.col(key), buckets))
-    deal = F.pmod(F.xxhash64(*[n for n, t in df.dtypes if "map<" not in t]), F.lit(files_per_bucket))
-    dealt = rows.repartition(buckets * files_per_bucket, "bucket", deal)
-    dealt.sortWithinPartitions("bucket", key, *sort).write.partitionBy("bucket").parquet(path)
+    rows = df.withColumns({"buckets": F.lit(buckets), "bucket": _bucket(F.col(key), F.lit(buckets))})
+    dealt = rows.hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", key, *sort)
+    dealt.write.mode("overwrite").partitionBy("buckets", "bucket").parquet(path)
 
 
-def read_clustered(
-    spark: SparkSession, path: str, key: str, values: Sequence[str], buckets: int = 256
-) -> DataFrame:
+def read_clustered(spark: SparkSession, path: str, key: str, values: Sequence[str]) -> DataFrame:
     """The rows of a few keys, read from their buckets only."""
-    wanted = F.col("bucket").isin(*[_bucket(F.lit(v), buckets) for v in values])
-    return spark.read.parquet(path).where(wanted & F.col(key).isin(*values)).drop("bucket")
+    own = [F.col("bucket") == _bucket(F.lit(v), F.col("buckets")) for v in values]
+    wanted = reduce(lambda a, b: a | b, own, F.lit(False))
+    return spark.read.parquet(path).where(wanted & F.col(key).isin(*values)).drop("buckets", "bucket")
 
 
 def insert_ignore_into(

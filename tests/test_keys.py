@@ -100,7 +100,7 @@ def test_append_turns_blank_to_null(spark, tmp_path):
 def test_clustered_table_prunes(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.range(400).select(F.format_string("%010d", F.col("id") % 20).alias("cik"), F.col("id"))
-    store.write_clustered(df, path, buckets=4, files_per_bucket=2)
+    store.write_clustered(df, path, buckets=4)
     assert spark.read.parquet(path).count() == 400
-    found = store.read_clustered(spark, path, "cik", ["0000000003"], buckets=4)
+    found = store.read_clustered(spark, path, "cik", ["0000000003"])
     assert sorted(r.id for r in found.collect()) == list(range(3, 400, 20))
