@@ -23,9 +23,15 @@ def _parsed(df: DataFrame, content: str, schema: str, required: str | None = Non
     return df.select(F.inline(parsed))
 
 
+def unreadable(df: DataFrame, content: str = "content") -> DataFrame:
+    """The rows whose text is not JSON, to be stored as failures; the feeds below leave them out."""
+    return df.where(F.try_parse_json(F.col(content)).isNull())
+
+
 def company_facts(df: DataFrame, content: str = "content") -> DataFrame:
-    """One row per company: padded cik and facts as nested maps."""
-    return _parsed(df, content, schemas.COMPANY_FACTS).withColumn("cik", clean.pad_cik(F.col("cik")))
+    """One row per company: padded cik and facts as nested maps. Objects without a cik drop out."""
+    parsed = _parsed(df, content, schemas.COMPANY_FACTS, required="cik")
+    return parsed.withColumn("cik", clean.pad_cik(F.col("cik")))
 
 
 def submissions(df: DataFrame, content: str = "content") -> DataFrame:

@@ -96,6 +96,12 @@ def test_ticker_list(spark):
     assert [tuple(r) for r in found] == [("0000320193", "AAPL", "Apple"), ("0000000005", "F", "Five")]
 
 
+def test_unreadable(spark):
+    rows = as_rows(spark, '{"cik": 1, "facts": {}}', '{"cik": 2, "fac', "", None, '{"entityName": "x"}')
+    assert feeds.unreadable(rows).count() == 3
+    assert [r.cik for r in feeds.company_facts(rows).collect()] == ["0000000001"]
+
+
 def test_screener(spark, tmp_path):
     path = tmp_path / "s.csv"
     path.write_text("Symbol,Name,Market Cap,Country,Sector,Industry\nA,x,,US,S,I\nB,y,12.7,US,S,I\nC,z,100,,,\n")
