@@ -14,6 +14,8 @@ from filingspark.operators.keys import first_wins, spread_join
 from filingspark.operators.query import focused_articles
 
 DAY_S = 24 * 3600
+DELAY_S = 60
+PRICES = ["open", "high", "low", "close"]
 LABELS = ("max_gain_24", "day_gain_24", "max_loss_24")
 
 
@@ -25,7 +27,7 @@ def window_prices(
     events: DataFrame,
     candles: DataFrame,
     at: str = "created",
-    delay: int = 60,
+    delay: int = DELAY_S,
     span: int = DAY_S,
     event_id: str = "id",
     base: DataFrame | None = None,
@@ -35,12 +37,15 @@ def window_prices(
     Adds ``open_at``, ``open``, ``high``, ``low`` and ``close``, all NULL when no
     candle falls into the range.
     """
-    near = candles_around(
-        events, candles, at, delay, span, ["open", "high", "low", "close"], event_id, base
-    )
+    near = candles_around(events, candles, at, delay, span, PRICES, event_id, base)
+    return _prices(near, events.columns)
+
+
+def _prices(near: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``columns`` and the figures of the candles in ``window``."""
     first, last = F.get("window", F.lit(0)), F.try_element_at("window", F.lit(-1))
     return near.select(
-        *events.columns,
+        *columns,
         first["datetime"].alias("open_at"),
         first["open"].alias("open"),
         F.array_max(F.transform("window", lambda c: c["high"])).alias("high"),
@@ -53,7 +58,7 @@ def price_labels(
     events: DataFrame,
     candles: DataFrame,
     at: str = "created",
-    delay: int = 60,
+    delay: int = DELAY_S,
     span: int = DAY_S,
     max_gap: int = 20 * 60,
     threshold: float = 0.5,
@@ -66,11 +71,17 @@ def price_labels(
     comes more than ``max_gap`` seconds after it, or when that one opens at 0.
     """
     priced = window_prices(events, candles, at, delay, span, event_id, base)
+    return _labels(priced, events.columns, at, max_gap, threshold)
+
+
+def _labels(
+    priced: DataFrame, columns: Sequence[str], at: str, max_gap: int, threshold: float
+) -> DataFrame:
     open_ = F.col("open")
     usable = F.coalesce((F.col("open_at") - F.col(at) <= max_gap) & (open_ != 0), F.lit(False))
     sources = dict(zip(LABELS, ("high", "close", "low")))
     return priced.select(
-        *events.columns,
+        *columns,
         *[
             F.when(usable, ternary(F.try_divide(F.col(price) - open_, open_), threshold))
             .otherwise(-1)
@@ -102,9 +113,13 @@ def volume_trend(
     NULL when either range is empty or the long median is 0.
     """
     near = candles_around(events, candles, at, -long, 0, ["volume"], event_id, base)
-    recent = F.filter("window", lambda c: c["datetime"] > F.col(at) - short)
-    both = [_median(F.transform(w, lambda c: c["volume"])) for w in (recent, F.col("window"))]
-    return near.select(*events.columns, F.try_divide(*both).alias("volume_trend"))
+    return near.select(*events.columns, _trend(F.col("window"), at, short).alias("volume_trend"))
+
+
+def _trend(window: Column, at: str, short: int) -> Column:
+    """Median volume of the last ``short`` seconds of ``window`` over that of all of it."""
+    recent = F.filter(window, lambda c: c["datetime"] > F.col(at) - short)
+    return F.try_divide(*[_median(F.transform(w, lambda c: c["volume"])) for w in (recent, window)])
 
 
 def labelled_articles(
@@ -121,7 +136,8 @@ def labelled_articles(
 
     Articles from ``first_time`` up to a day before the last candle of their
     ticker take part. Hot tickers are counted once, on the article table, for
-    all joins.
+    all joins. The candles before and after an article are gathered together, so
+    labels and trend come from one join.
     """
     last = candles.groupBy("ticker").agg((F.max("datetime") - DAY_S).alias("_last"))
     base = articles.where(F.col("created") >= first_time).select("ticker", "created")
@@ -137,9 +153,16 @@ def labelled_articles(
         timely.select("id", "ticker", "author", "created", "title"),
         ["id", "ticker"], ["created"], null_keys=False,
     )
-    labels = price_labels(once, candles, max_gap=max_gap, threshold=threshold, base=base)
-    trend = volume_trend(labels, candles, short=short, long=long, base=base)
-    dated = trend.withColumns(
+    near = candles_around(once, candles, "created", -long, DAY_S, [*PRICES, "volume"], "id", base)
+    at = F.col("created")
+    cut = near.select(
+        *once.columns,
+        _trend(F.filter("window", lambda c: c["datetime"] <= at), "created", short).alias("volume_trend"),
+        F.filter("window", lambda c: c["datetime"] > at + DELAY_S).alias("window"),
+    )
+    kept = [*once.columns, "volume_trend"]
+    labels = _labels(_prices(cut, kept), kept, "created", max_gap, threshold)
+    dated = labels.withColumns(
         {
             "day_of_week": dates.day_of_week(F.col("created")),
             "title": F.coalesce("title", F.lit("")),

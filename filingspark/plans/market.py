@@ -107,6 +107,19 @@ def webhook_scan(t: Tables):
     )
 
 
+@query("webhook_apply", sql(
+    """SELECT id, CASE WHEN id % 5 = 1 THEN upper(author) ELSE author END AS author,
+        CASE WHEN id % 5 = 1 THEN updated + 20 ELSE updated END AS updated FROM articles WHERE id % 5 <> 0""", "articles"))
+def webhook_apply(t: Tables):
+    """Events that remove every fifth article and replace the next one twice."""
+    stored = t.articles().select("id", "author", "updated")
+    replaced = F.when(F.col("id") % 5 == 1, F.upper("author")).otherwise(F.col("author"))
+    action = F.when(F.col("id") % 5 == 0, "Removed").otherwise("Updated")
+    events = stored.where("id % 5 < 2").withColumn("wait", F.explode(F.array(F.lit(10), F.lit(20))))
+    hooks = events.select("id", replaced.alias("author"), (F.col("updated") + F.col("wait")).alias("updated"), action.alias("action"))
+    return feeds.apply_webhooks(stored, hooks)
+
+
 @query("article_normalise", sql(
     """SELECT id, author, created, updated, title, teaser, body, array_to_string(channels, ',') AS channels,
     array_to_string(stocks, ',') AS stocks FROM articles""", "articles"))

@@ -177,6 +177,26 @@ def test_archives_round_trip(spark, tmp_path):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
 
 
+def test_webhooks_are_applied(spark):
+    stored = spark.createDataFrame([(1, "a", 1), (2, "b", 1), (3, "c", 1)], "id int, title string, updated int")
+    hooks = spark.createDataFrame(
+        [(1, "new", 5, "Updated"), (1, "old", 4, "Updated"), (2, "b", 9, "Removed"), (2, "x", 3, "Updated"), (4, "d", 1, "Created")],
+        "id int, title string, updated int, action string",
+    )
+    found = sorted(map(tuple, feeds.apply_webhooks(stored, hooks).collect()))
+    assert found == [(1, "new", 5), (3, "c", 1), (4, "d", 1)]
+
+
+def test_landed_bodies_meet_the_manifest(spark, tmp_path):
+    for accession, name in (("a1", "x.htm"), ("a1", "y.txt"), ("a2", "x.htm"), ("a9", "z.htm")):
+        (tmp_path / accession).mkdir(exist_ok=True)
+        (tmp_path / accession / name).write_text(f"{accession} ü {name}")
+    rows = [("a1", "x.htm"), ("a1", "y.txt"), ("a2", "x.htm"), ("a3", "w.htm")]
+    manifest = spark.createDataFrame(rows, "accessionNumber string, filename string")
+    found = {r.rawContent for r in feeds.filing_bodies(spark, str(tmp_path), manifest).collect()}
+    assert found == {"a1 ü x.htm", "a2 ü x.htm"}
+
+
 def test_manifest(spark):
     names = ["a.htm", "b.xhtml", "c.html", "d.txt", "htm.txt", "e.HTM", "noext"]
     df = spark.createDataFrame([(n,) for n in names], "filename string")

@@ -127,6 +127,22 @@ def test_table_query(spark):
     assert [tuple(r) for r in least] == [(0, "", 3), (1, "b", 2)]
 
 
+def test_article_on_two_tickers_gives_two_rows(spark):
+    articles = spark.createDataFrame(
+        [(1, t, 1000, "x", "T", ["A", "B"]) for t in ("A", "B")] + [(1, "A", 2000, "x", "T", ["A", "B"])],
+        "id int, ticker string, created long, author string, title string, stocks array<string>",
+    )
+    candles = spark.createDataFrame(
+        [(t, s, 1.0, 2.0, 0.5, 1.0, 10) for t in ("A", "B") for s in (900, 1100, 200_000)],
+        "ticker string, datetime long, open double, high double, low double, close double, volume long",
+    )
+    screener = spark.createDataFrame(
+        [("A", 5, "US", "s", "i")], "symbol string, market_cap long, country string, sector string, industry string"
+    )
+    found = sorted((r.id, r.ticker, r.created, r.max_gain_24) for r in N.labelled_articles(articles, candles, screener, 0).collect())
+    assert found == [(1, "A", 1000, 2), (1, "B", 1000, 2)]
+
+
 def test_windows_need_an_end(spark):
     df = spark.createDataFrame([], "id int, ticker string")
     with pytest.raises(ValueError):
