@@ -20,12 +20,12 @@ from filingspark.llm.spans import LETTER, coded, kinds_of, listed
 UNKNOWN = "und"
 LONGEST_PIECE = 16
 LONGEST_WORD = 48
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000
 MOST_LANGUAGES = 1024
 PRIOR = 2000.0
 WORTH = 8.0
 UNIT = 1 << 16
-TEXT_BYTES = 1 << 21
+TEXT_BYTES = 1 << 20
 
 
 def vocabulary_path() -> str:

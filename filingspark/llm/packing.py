@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from filingspark.llm.tables import stored
-from filingspark.llm.tokens import encoder, vocabulary_path
+from filingspark.llm.tokens import Encoder, vocabulary_path
 
 ROOM = 1024
 END = 2
@@ -25,7 +25,7 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task
 
 def _pieces(path: str, room: int, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = encoder(path)
+        known = Encoder(path)
         task = TaskContext.get().partitionId()
         met = np.zeros(room + 1, dtype=np.int64)
         for batch in batches:

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 SHINGLE = 5
-WINDOW = 1 << 22
+WINDOW = 1 << 18
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)

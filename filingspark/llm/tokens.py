@@ -13,8 +13,8 @@ import pyarrow as pa
 from filingspark.llm.shingles import slices
 from filingspark.llm.spans import LETTER, SPACE, coded, kinds_of, listed
 
-CACHED_WORDS = 1_000_000
-TEXT_BYTES = 1 << 22
+CACHED_WORDS = 300_000
+TEXT_BYTES = 1 << 20
 BLANK, APOSTROPHE = 0x20, 0x27
 # Endings that the vocabulary's word pattern keeps with their apostrophe.
 ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
@@ -70,7 +70,11 @@ def word_starts(points: np.ndarray, kinds: np.ndarray, opens: np.ndarray) -> np.
 
 
 class Encoder:
-    """Ids of texts; each distinct word is encoded once and looked up from then on."""
+    """Ids of texts; each distinct word is encoded once and looked up from then on.
+
+    Made for one task, since a worker that waits for its next one should not hold on to
+    its words; beyond ``CACHED_WORDS`` they are dropped and encoded anew.
+    """
 
     def __init__(self, path: str):
         self.encode = _tokenizer(path)
@@ -126,8 +130,3 @@ class Encoder:
                     yield np.array(own, dtype=np.uint32)
                 else:
                     yield flat[a:b]
-
-
-@cache
-def encoder(path: str) -> Encoder:
-    return Encoder(path)

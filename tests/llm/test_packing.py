@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 
 from filingspark.llm import packing
-from filingspark.llm.tokens import encoder, vocabulary_path
+from filingspark.llm.tokens import Encoder, vocabulary_path
 from tests.llm import docs
 
 
@@ -29,7 +29,7 @@ def test_ids_equal_the_tokenizer(tokenizer):
     texts = ["".join(draw.choices(parts, k=draw.randint(0, 14))) for _ in range(5000)]
     texts += [r[1] or "" for r in docs.corpus()]
     want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
-    assert [list(x) for x in encoder(vocabulary_path()).ids(pa.array(texts))] == want
+    assert [list(x) for x in Encoder(vocabulary_path()).ids(pa.array(texts))] == want
 
 
 def _check(rows, texts, tokenizer):
