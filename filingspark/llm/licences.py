@@ -10,7 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filingspark.llm.tables import stored
+from filingspark.llm.tables import bind, stored
 
 UNKNOWN = "unknown"
 FEATURES = 1 << 15
@@ -19,6 +19,7 @@ VARIANTS = 24
 CALIBRATED = 0.995
 CONFIRMED = 0.6
 LONGEST = 2048
+AROUND = ".,;:!?()[]{}<>\"'`*_|/\\#=+-"
 
 # Short notices and opening sentences of public licences, by family.
 TEMPLATES = {
@@ -81,8 +82,9 @@ TEMPLATES = {
 
 
 def words_of(text: Column) -> Column:
-    """Lower-case words of letters, digits, dots and hyphens within."""
-    return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+(?:[.\-][\p{L}\p{N}]+)*"), F.lit(0))
+    """Lower-case words: runs between white space, without the punctuation around them."""
+    bare = F.transform(F.split(F.lower(text), r"\s+"), lambda w: F.btrim(w, F.lit(AROUND)))
+    return F.filter(bare, lambda w: w != "")
 
 
 def grams(words: Column) -> Column:
@@ -95,10 +97,14 @@ def paragraphs(docs: DataFrame) -> DataFrame:
     """``doc_id, paragraph, words``: the lines with words of each whole text, numbered from 0.
 
     A line of more than ``LONGEST`` words is read in stretches of as many, each ending
-    64 words into the next, so a row stays small and no notice is cut in two.
+    64 words into the next, so a row stays small and no notice is cut in two. Words are
+    made inside an outer ``explode``, behind which no filter can pull them out again.
     """
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("paragraph", "line"))
-    words = lines.select("doc_id", "paragraph", words_of(F.col("line")).alias("all")).where(F.size("all") > 0)
+    listed = F.transform(
+        F.split("text", "\n"), lambda line, i: F.struct(i.alias("paragraph"), words_of(line).alias("all"))
+    )
+    lines = docs.select("doc_id", F.explode_outer(listed).alias("_line"))
+    words = lines.select("doc_id", "_line.*").where(F.size("all") > 0)
     starts = F.sequence(F.lit(1), F.greatest(F.size("all"), F.lit(1)), F.lit(LONGEST))
     cut = words.withColumn("_at", F.explode(starts))
     return cut.select("doc_id", "paragraph", "_at", F.slice("all", F.col("_at"), F.lit(LONGEST + 64)).alias("words"))
@@ -155,32 +161,34 @@ def examples(docs: DataFrame, negatives: int = NEGATIVES) -> DataFrame:
 
 
 def _template_pairs() -> list[tuple[str, int, list[str]]]:
-    import re
-
     out = []
     for family, texts in TEMPLATES.items():
         for i, text in enumerate(texts):
-            words = re.findall(r"[^\W_]+(?:[.\-][^\W_]+)*", text.lower())
+            words = [w for w in (w.strip(AROUND) for w in text.lower().split()) if w]
             out.append((family, i, sorted({f"{a} {b}" for a, b in zip(words, words[1:])})))
     return out
 
 
-def _found(words: Column, pairs: list[str]) -> Column:
-    return F.size(F.array_intersect(grams(words), F.array(*[F.lit(p) for p in pairs]))) / float(len(pairs))
+def _found(held: Column, pairs: list[str]) -> Column:
+    return F.size(F.array_intersect(held, F.array(*[F.lit(p) for p in pairs]))) / float(len(pairs))
 
 
 def likeness(words: Column) -> Column:
     """The greatest share of any template's word pairs that a paragraph holds."""
-    return F.greatest(*[_found(words, pairs) for _, _, pairs in _template_pairs()])
+    return bind(grams(words), lambda held: F.greatest(*[_found(held, pairs) for _, _, pairs in _template_pairs()]))
 
 
 def family_likeness(words: Column, family: Column) -> Column:
     """The same among the templates of ``family``."""
-    found = F.lit(0.0)
-    for name in TEMPLATES:
-        own = [_found(words, pairs) for f, _, pairs in _template_pairs() if f == name]
-        found = F.when(family == name, F.greatest(*own, F.lit(0.0))).otherwise(found)
-    return found
+
+    def best(held: Column) -> Column:
+        found = F.lit(0.0)
+        for name in TEMPLATES:
+            own = [_found(held, pairs) for f, _, pairs in _template_pairs() if f == name]
+            found = F.when(family == name, F.greatest(*own, F.lit(0.0))).otherwise(found)
+        return found
+
+    return bind(grams(words), best)
 
 
 @dataclass
@@ -207,7 +215,9 @@ def _tempered(rows: DataFrame, families: list[str], temperature: float) -> DataF
     total = F.aggregate("_raw", F.lit(0.0), lambda s, x: s + F.exp((x - top) / temperature))
     names = F.array(*[F.lit(f) for f in families])
     best = F.element_at(names, F.array_position("_raw", top).cast("int"))
-    return rows.withColumns({"family": best, "chance": 1.0 / total}).drop("_raw")
+    # from a list of one, so that filters on the result do not repeat the scores below it
+    found = F.inline_outer(F.array(F.struct(best.alias("family"), (1.0 / total).alias("chance"))))
+    return rows.select("*", found).drop("_raw")
 
 
 def train(docs: DataFrame, negatives: int = NEGATIVES) -> Classifier:
@@ -226,7 +236,7 @@ def train(docs: DataFrame, negatives: int = NEGATIVES) -> Classifier:
     hashing = HashingTF(inputCol="_grams", outputCol="_features", numFeatures=FEATURES, binary=True)
     regression = LogisticRegression(
         featuresCol="_features", labelCol="label", rawPredictionCol="_margin", probabilityCol="_p",
-        predictionCol="_best", family="multinomial", maxIter=40, regParam=1e-4, standardization=False,
+        predictionCol="_best", family="multinomial", maxIter=25, regParam=1e-4, standardization=False,
     )
     fold = hashing.transform(rows.withColumn("_grams", grams(F.col("words"))))
     fitted = regression.fit(fold.where("fold < 0.8"))

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from filingspark.llm.tables import place, stored, task_count
+from filingspark.llm.tables import bind, place, stored, task_count
 
 CHAIN = 2
 DISTANCE = 1
@@ -29,11 +27,6 @@ def anchor_words() -> list[str]:
     return sorted({w for words in ANCHORS.values() for w in words.split()})
 
 
-def bind(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use`` of ``value``, which is computed once however often it is used."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def signatures(text: Column, chain: int = CHAIN, distance: int = DISTANCE) -> Column:
     """The sorted set of hashed signatures of a text, all inside its row.
 
