@@ -170,37 +170,36 @@ def _survivors(tile: pa.Table) -> pa.Table:
     return tile.select(["centre", "low", "high", "node", "block", "doc_id"]).filter(pa.array(live))
 
 
+def forest_of(sets: list[np.ndarray], sizes: np.ndarray, block: np.ndarray) -> list[tuple[int, int]]:
+    """Linked pairs that span the groups of a tile; pairs already connected are not met.
+
+    Pairs with near sketches come first, as they mostly link and connect the tile, which
+    spares the others. Only the pairs of one row are held at a time.
+    """
+    bits = [bits_of(s) for s in sets]
+    group = np.arange(len(sets))
+    found = []
+    for share in (0.5, 1.0):
+        for a, others, apart in near_in_tile(bits, sizes, block):
+            live = (group[others] != group[a]) & (9 * apart <= share * (sizes[a] + sizes[others]))
+            for b in others[live][np.argsort(apart[live], kind="stable")].tolist():
+                if group[b] == group[a]:
+                    continue
+                joined = np.concatenate([sets[a], sets[b]])
+                joined.sort()
+                both = int((joined[1:] == joined[:-1]).sum())
+                if 100 * both >= 80 * (len(joined) - both):
+                    group[group == group[b]] = group[a]
+                    found.append((a, b))
+    return found
+
+
 def _links(tile: pa.Table) -> pa.Table:
-    """Links of the tile as a spanning forest: pairs already connected are not met."""
     ids = tile.column("doc_id").to_numpy()
-    texts = tile.column("text").combine_chunks()
-    texts = texts if isinstance(texts, pa.Array) else pa.concat_arrays(texts.chunks)
+    texts = pa.concat_arrays(tile.column("text").chunks)
     sets = [s for _, _, data, offsets in slices(texts) for s in shingle_sets(data, offsets)]
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
-    met = list(near_in_tile([bits_of(s) for s in sets], sizes, tile.column("block").to_numpy()))
-    if not met:
-        return pa.table({"id_a": pa.array([], pa.int64()), "id_b": pa.array([], pa.int64())})
-    left = np.concatenate([np.full(len(o), i) for i, o, _ in met])
-    right = np.concatenate([o for _, o, _ in met])
-    order = np.argsort(np.concatenate([h for _, _, h in met]), kind="stable")
-    root = list(range(len(ids)))
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    found = []
-    for a, b in zip(left[order].tolist(), right[order].tolist()):
-        if find(a) == find(b):
-            continue
-        joined = np.concatenate([sets[a], sets[b]])
-        joined.sort()
-        both = int((joined[1:] == joined[:-1]).sum())
-        if 100 * both >= 80 * (len(joined) - both):
-            root[find(a)] = find(b)
-            found.append((a, b))
+    found = forest_of(sets, sizes, tile.column("block").to_numpy())
     a, b = (np.array(side, dtype=np.int64) for side in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
     return pa.table({"id_a": pa.array(ids[a], pa.int64()), "id_b": pa.array(ids[b], pa.int64())})
 
@@ -257,8 +256,9 @@ def components(docs: DataFrame) -> DataFrame:
     holds its distinct five-word shingles as 64-bit hashes, or its whole sequence if it
     has fewer words. NULL and blank texts have empty sets and are linked with nothing.
     ``component_id`` is the least doc_id reachable; rows with a NULL id stay alone with a
-    NULL component. Repeated rows and copies share a class and are never paired. Of rows
-    that share a doc_id with different texts, each has its own class.
+    NULL component. Repeated rows and copies share a class and are never paired. An id is
+    expected to name one text: rows of one id with different texts keep their own counts
+    but count as one document, whose links are those of the greatest of its texts.
 
     Sketch parts that two sets share put both in the bucket of the least of them; a bucket
     is cut into tiles of bounded size, where full sketches drop pairs whose Hamming distance
