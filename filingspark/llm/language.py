@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -19,7 +20,9 @@ from filingspark.llm.spans import LETTER, coded, kinds_of, listed
 
 UNKNOWN = "und"
 LONGEST_PIECE = 16
-LONGEST_WORD = 48
+SHORT_WORD = 16
+LONG_CELLS = 1 << 18
+BLOCK = 4096
 CACHED_WORDS = 200_000
 MOST_LANGUAGES = 1024
 PRIOR = 2000.0
@@ -75,7 +78,11 @@ class Pieces:
         return found
 
     def forward(self, words: np.ndarray, chances: np.ndarray, spans: dict) -> np.ndarray:
-        """``[position, word, column]``: the sum over all segmentations up to each position."""
+        """``[position, word, column]``: the sum over all segmentations up to each position.
+
+        For words of at most ``SHORT_WORD`` bytes and a blank: these cannot leave the range
+        of floats while a byte's chance is above 1e-18. ``scaled`` is for the others.
+        """
         sums = np.zeros((words.shape[1] + 1, len(words), chances.shape[1]))
         sums[0] = 1.0
         for j in range(1, words.shape[1] + 1):
@@ -100,6 +107,76 @@ class Pieces:
         for (i, j), piece in spans.items():
             yield piece, ahead[i, :, 0] * chances[piece, 0] * behind[j] / total
 
+    def ends(self, words: np.ndarray, first: int, last: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each position after ``first`` up to ``last``: starts of the pieces that end there, and
+        ``[start, word]`` their numbers, ``count`` where it is none."""
+        begun = max(0, first - LONGEST_PIECE + 1)
+        totals = np.zeros((LONGEST_PIECE, len(words)), dtype=np.uint64)
+        for j in range(begun + 1, last + 1):
+            totals[(j - 1) % LONGEST_PIECE] = 0
+            totals += words[:, j - 1].astype(np.uint64) + np.uint64(1)
+            totals *= np.uint64(0x9E3779B97F4A7C15)
+            totals ^= totals >> np.uint64(29)
+            if j <= first:
+                continue
+            starts = np.arange(max(begun, j - LONGEST_PIECE), j)
+            own = totals[starts % LONGEST_PIECE]
+            at = np.minimum(np.searchsorted(self.hashes, own), self.count - 1)
+            known = self.hashes[at] == own
+            held = known.any(axis=1)
+            yield starts[held], np.where(known, at, self.count)[held]
+
+    def scaled(self, words: np.ndarray, chances: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """``forward`` of long words, position by position from the first: ``(sums, log scale)``.
+
+        The last sums are divided by the newest every ``LONGEST_PIECE`` positions, for each
+        word and column, so they stay in the range of floats whatever the length.
+        """
+        window = np.zeros((LONGEST_PIECE, len(words), chances.shape[1]))
+        window[0] = 1.0
+        scale = np.zeros(window.shape[1:])
+        for j, (starts, piece) in enumerate(self.ends(words, 0, words.shape[1]), 1):
+            now = (window[starts % LONGEST_PIECE] * chances[piece]).sum(axis=0)
+            window[j % LONGEST_PIECE] = now
+            yield now, scale
+            if j % LONGEST_PIECE == 0:
+                window /= now
+                scale = scale + np.log(now)
+
+    def log_totals(self, words: np.ndarray, lengths: np.ndarray, chances: np.ndarray) -> np.ndarray:
+        """``[word, column]``: log of the sum over all segmentations of long words, padded behind ``lengths``."""
+        found = np.empty((len(words), chances.shape[1]))
+        for j, (now, scale) in enumerate(self.scaled(words, chances), 1):
+            if (done := lengths == j).any():
+                found[done] = np.log(now[done]) + scale[done]
+        return found
+
+    def expected_long(self, words: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """``expected`` of long words, padded behind ``lengths``."""
+        chances = np.append(self.start, 0.0)
+        size = words.shape[1]
+        ahead = np.zeros((size + 1, len(words)))
+        for j, (now, scale) in enumerate(self.scaled(words, chances[:, None]), 1):
+            ahead[j] = np.log(now[:, 0]) + scale[:, 0]
+        total = ahead[lengths, np.arange(len(words))]
+        ring = LONGEST_PIECE + 1
+        window = np.zeros((ring, len(words)))
+        scale = np.zeros(len(words))
+        for first in range((size - 1) // BLOCK * BLOCK, -1, -BLOCK):
+            last = min(size, first + BLOCK)
+            for j, (starts, piece) in zip(range(last, first, -1), [*self.ends(words, first, last)][::-1]):
+                window[j % ring, lengths == j] = 1.0
+                begun = j <= lengths
+                if j % LONGEST_PIECE == 0:
+                    by = np.where(begun, window[j % ring], 1.0)
+                    window /= by
+                    scale += np.log(by)
+                now = window[j % ring].copy()
+                window[j % ring] = 0.0
+                window[starts % ring] += now * chances[piece]
+                rest = np.log(now, out=np.full(len(words), -np.inf), where=begun) + scale - total
+                yield from zip(piece, chances[piece] * np.exp(ahead[starts] + rest))
+
 
 @cache
 def pieces(path: str) -> Pieces:
@@ -107,20 +184,41 @@ def pieces(path: str) -> Pieces:
 
 
 def _by_length(words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places and byte rows of the words of each length, each with a blank before it."""
-    lengths = np.array([len(w) for w in words])
-    for length in np.unique(lengths):
+    """Places and byte rows of the short words of each length, each with a blank before it."""
+    lengths = np.array([len(w) for w in words], dtype=np.int64)
+    for length in np.unique(lengths[lengths <= SHORT_WORD]):
         at = np.flatnonzero(lengths == length)
         for part in np.array_split(at, len(at) // 20_000 + 1):
             rows = np.frombuffer(b"".join(words[i] for i in part), dtype=np.uint8).reshape(len(part), length)
             yield part, np.insert(rows, 0, 32, axis=1).astype(np.uint64)
 
 
+def _long(words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Places, padded byte rows and lengths of the other words, each with a blank before it.
+
+    Words of one batch differ in length by less than a factor of two.
+    """
+    lengths = np.array([len(w) for w in words], dtype=np.int64)
+    at = np.flatnonzero(lengths > SHORT_WORD)
+    at = at[np.argsort(lengths[at], kind="stable")]
+    first = 0
+    while first < len(at):
+        least = lengths[at[first]]
+        last = np.searchsorted(lengths[at], 2 * least)
+        last = min(last, first + max(1, LONG_CELLS // (2 * least)))
+        part = at[first:last]
+        rows = np.zeros((len(part), lengths[part[-1]] + 1), dtype=np.uint8)
+        rows[:, 0] = 32
+        for row, i in zip(rows, part):
+            row[1 : lengths[i] + 1] = np.frombuffer(words[i], dtype=np.uint8)
+        yield part, rows, lengths[part] + 1
+        first = last
+
+
 def _runs(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, list[bytes], np.ndarray]]:
     """``(first text, text of each run, code of each run, runs, is a word)``.
 
-    Runs of letters in lower case are words; longer ones are cut every
-    ``LONGEST_WORD`` characters.
+    Runs of letters in lower case are words, whatever their length.
     """
     lowered = pc.utf8_lower(texts.fill_null(""))
     for first, _, data, offsets in slices(lowered, TEXT_BYTES):
@@ -134,11 +232,6 @@ def _runs(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, list[b
         opens = offsets[:-1] - offsets[0]
         fresh[np.searchsorted(places, opens[opens < len(data)])] = True
         at = np.flatnonzero(fresh)
-        sizes = np.diff(np.append(at, len(letter)))
-        if (sizes > LONGEST_WORD).any():
-            long = np.flatnonzero((sizes > LONGEST_WORD) & letter[at])
-            more = [np.arange(at[i] + LONGEST_WORD, at[i] + sizes[i], LONGEST_WORD) for i in long]
-            at = np.sort(np.concatenate([at, *more]))
         starts = places[at]
         codes, found = coded(data, starts)
         owner = np.searchsorted(opens, starts, side="right") - 1
@@ -157,9 +250,12 @@ def _counts(langs: list[str], path: str):
         counts = np.zeros((1024, len(langs)), dtype=np.int64)
 
         def settle() -> None:
-            for part, rows in _by_length(list(seen)):
+            words = list(seen)
+            short = ((part, known.expected(rows)) for part, rows in _by_length(words))
+            long = ((part, known.expected_long(rows, lengths)) for part, rows, lengths in _long(words))
+            for part, shares in chain(short, long):
                 times = counts[part]
-                for piece, share in known.expected(rows):
+                for piece, share in shares:
                     np.add.at(uses, piece, np.rint(share * UNIT).astype(np.int64)[:, None] * times)
             seen.clear()
             counts[:] = 0
@@ -246,6 +342,8 @@ def identify(
                 worth = np.concatenate([worth, np.zeros_like(worth)])
             for part, rows in _by_length(fresh):
                 worth[base + part] = np.log(known.forward(rows, padded, known.spans(rows))[-1])
+            for part, rows, lengths in _long(fresh):
+                worth[base + part] = known.log_totals(rows, lengths, padded)
             return worth[[seen[w] for w in words]]
 
         for batch in batches:
