@@ -44,6 +44,8 @@ URL_RULES = [
     url_rules.Rule("*/login*", "block"),
     url_rules.Rule("*/*.zip", "block"),
     url_rules.Rule("*/*sessionid=*", "block"),
+    # the same in the query of a URL without a path, as the SQL has it
+    url_rules.Rule("*\\?*/*sessionid=*", "block"),
 ]
 
 

@@ -19,8 +19,8 @@ class Rule:
     """A glob over the canonical URL, what it decides, and the name it is reported by.
 
     The canonical URL is ``.host/path?query``. ``*`` stands for any run, ``?`` for any
-    one byte, a backslash takes the next byte as it is. Before the first ``/`` of the
-    glob both stay inside the host. A glob must fit the whole URL.
+    one byte, a backslash takes the next byte as it is. Before the first ``/`` or ``\\?``
+    of the glob both stay inside the host. A glob must fit the whole URL.
     """
 
     glob: str
@@ -61,9 +61,10 @@ class Automaton:
     Each glob owns a run of bits over as many 64-bit words as needed: one start bit
     and one bit per byte that it consumes. Reading a byte shifts all states, keeps
     those whose byte fits, and keeps states with a ``*`` behind them where they are.
+    Any of the bytes ``ends`` ends the host.
     """
 
-    def __init__(self, globs: Sequence[str]):
+    def __init__(self, globs: Sequence[str], ends: bytes = b"/"):
         starts, finals, steps, loops = [], [], [], []
         bit = 0
         for glob in globs:
@@ -80,7 +81,7 @@ class Automaton:
                     continue
                 bit += 1
                 steps.append((bit, c if kind == "byte" else None, in_host))
-                if kind == "byte" and c == ord("/"):
+                if kind == "byte" and c in ends:
                     in_host = False
             finals.append(bit)
             bit += 1
@@ -88,23 +89,22 @@ class Automaton:
         self.step = np.zeros((256, self.words), dtype=np.uint64)
         self.loop = np.zeros((256, self.words), dtype=np.uint64)
         for at, byte, in_host in steps:
-            self._allow(self.step, at, byte, in_host)
+            self._allow(self.step, at, byte, ends if in_host else b"")
         for at, in_host in loops:
-            self._allow(self.loop, at, None, in_host)
+            self._allow(self.loop, at, None, ends if in_host else b"")
         self.start = np.zeros(self.words, dtype=np.uint64)
         for at in starts:
             self.start[at // 64] |= np.uint64(1 << at % 64)
         self.finals = finals
 
     @staticmethod
-    def _allow(masks: np.ndarray, at: int, byte: int | None, in_host: bool) -> None:
+    def _allow(masks: np.ndarray, at: int, byte: int | None, but: bytes) -> None:
         flag = np.uint64(1 << at % 64)
         if byte is not None:
             masks[byte, at // 64] |= flag
             return
         masks[:, at // 64] |= flag
-        if in_host:
-            masks[ord("/"), at // 64] &= ~flag
+        masks[[*but], at // 64] &= ~flag
 
     def match(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """``[text, glob]`` for texts held end to end in ``data``."""
@@ -142,7 +142,7 @@ def judge(pages: DataFrame, url: str, rules: Sequence[Rule], otherwise: str = "a
         range(len(rules)),
         key=lambda i: (rules[i].name is None, -len(rules[i].name or ""), rules[i].verdict != "block", i),
     )
-    automaton = Automaton([rules[i].glob for i in ranked])
+    automaton = Automaton([rules[i].glob for i in ranked], ends=b"/?")
     names = np.array([rules[i].name for i in ranked], dtype=object)
     verdicts = np.array([rules[i].verdict for i in ranked], dtype=object)
     globs = [rules[i].glob for i in ranked]

@@ -5,10 +5,11 @@ from __future__ import annotations
 import random
 import re
 
+import duckdb
 import numpy as np
 
 from filingspark.llm import url_rules
-from filingspark.llm.queries import URL_RULES
+from filingspark.llm.queries import QUERIES, SQL, URL_RULES
 from filingspark.llm.url_rules import Automaton, Rule
 
 
@@ -82,3 +83,29 @@ def test_equal_names_block_first(spark):
     frame = spark.createDataFrame([(1, "http://a.b/c")], "page_id long, url string")
     rules = [Rule("*.b/*", "allow", "same"), Rule("*.b/c", "block", "same"), Rule.of_host("b*", "/c", "allow")]
     assert url_rules.judge(frame, "url", rules).first()["verdict"] == "block"
+
+
+QUERY_ONLY = [
+    "http://a.com?u=b.net/", "http://a.com?u=x.example.net/en/", "http://a.com?u=.example.com/de/", "http://a.com?u=.org/fr/",
+    "http://a.com?x=/login", "http://a.com?x=/a.zip", "http://a.net?x=/", "http://a.com?x=/&sessionid=1", "http://a.com?sessionid=1",
+    "http://a.com/?u=b.net/&sessionid=1", "http://a.com/?x=/login", "http://a.com/?x=.zip", "http://a.net/?u=.org/fr/", "http://a.com??.net/",
+]
+
+
+def test_rules_do_not_fit_in_the_query(spark):
+    frame = spark.createDataFrame([(i, u) for i, u in enumerate(QUERY_ONLY)], "page_id long, url string")
+    got = {r["page_id"]: r for r in url_rules.judge(frame, "url", URL_RULES).collect()}
+    for i, url in enumerate(QUERY_ONLY):
+        assert (got[i]["host"], got[i]["path"], got[i]["rule"]) == plain(url)[:3]
+    assert [got[i]["verdict"] for i in range(7)] == ["allow"] * 7
+    assert got[0]["globs"] == []
+
+
+def test_sql_agrees_on_queries_without_a_path(spark, tmp_path):
+    frame = spark.createDataFrame([(i, u) for i, u in enumerate(QUERY_ONLY)], "page_id long, url string")
+    frame.write.parquet(str(tmp_path / "pages.parquet"))
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    want = sorted(duck.execute(SQL["op4_url_rules"]).fetchall())
+    got = sorted(tuple(r) for r in QUERIES["op4_url_rules"](spark, str(tmp_path)).collect())
+    assert got == want
