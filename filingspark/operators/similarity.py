@@ -20,6 +20,8 @@ from filingspark.session import checkpoint
 
 TILE_ROWS = 2048
 ROWS_PER_CELL = 16_384
+LEVEL_ANCHORS = 1024
+PLACED_ROWS = 2048
 
 
 def scores(
@@ -105,8 +107,8 @@ def _unit_rows(column: pd.Series) -> np.ndarray:
     return np.divide(rows, length, out=np.zeros_like(rows), where=length > 0)
 
 
-def _cells(reps: DataFrame, threshold: float) -> DataFrame:
-    """Rows ``(cell, home, id, vec)``: each vector in its own cell and where a partner may be.
+def _placer(anchors: np.ndarray, threshold: float) -> Callable[[np.ndarray], Iterator[tuple[np.ndarray, ...]]]:
+    """Where unit rows belong among ``anchors``: ``(row, cell, is the row's own cell)``, in parts.
 
     Anchors split the space into cells, a vector living in the cell of its
     nearest anchor. On the unit sphere a cosine above the threshold is a distance
@@ -114,40 +116,110 @@ def _cells(reps: DataFrame, threshold: float) -> DataFrame:
     two anchors, so a vector further than ``radius`` from that plane has none
     there. Only lower cells are visited, which meets every pair once.
     """
-    count = reps.count()
-    wanted = max(1, min(math.isqrt(count), 2 + count // ROWS_PER_CELL))
-    picked = reps.orderBy(F.xxhash64("id"), "id").limit(wanted).toPandas()  # root of the rows at most
-    anchors = _unit_rows(picked["vec"]) if len(picked) else np.zeros((1, 1))
     radius = math.sqrt(max(0.0, 2.0 - 2.0 * threshold)) + 1e-9
+    lengths = (anchors * anchors).sum(axis=1)
+    gram = lengths[:, None] + lengths[None, :] - 2.0 * anchors @ anchors.T
+    apart = np.sqrt(gram.clip(min=0.0) + 1e-12)  # never below the true distance
+    order = np.arange(len(anchors))[None, :]
+
+    def place(unit: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        for first in range(0, len(unit), PLACED_ROWS):
+            squared = (2.0 - 2.0 * unit[first : first + PLACED_ROWS] @ anchors.T).clip(min=0.0)
+            own = squared.argmin(axis=1)
+            excess = squared - squared[np.arange(len(own)), own][:, None]
+            reach = excess <= 2.0 * radius * apart[own] + 1e-9
+            row, cell = np.nonzero((reach & (order < own[:, None])) | (order == own[:, None]))
+            yield row + first, cell, cell == own[row]
+
+    return place
+
+
+def _wanted(count: int) -> int:
+    return max(1, min(math.isqrt(count), 2 + count // ROWS_PER_CELL))
+
+
+def _cells(reps: DataFrame, threshold: float) -> DataFrame:
+    """Rows ``(cell, sub, home, id, vec)``: each vector in its own cell and where a partner may be.
+
+    The number of cells follows the rows. At most ``LEVEL_ANCHORS`` anchors are held by
+    the driver; where more cells are wanted, each cell is split by anchors of its own,
+    which travel as rows. ``home`` has a bit for each level at which the cell is the
+    vector's own; one of the two vectors of a pair is at home at each.
+    """
+    wanted = _wanted(reps.count())
+    picked = reps.orderBy(F.xxhash64("id"), "id").limit(min(wanted, LEVEL_ANCHORS)).toPandas()
+    anchors = _unit_rows(picked["vec"]) if len(picked) else np.zeros((1, 1))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        apart = np.linalg.norm(anchors[:, None, :] - anchors[None, :, :], axis=2)
+        place = _placer(anchors, threshold)
         for batch in batches:
-            if batch.empty:
-                continue
-            squared = ((2.0 - 2.0 * _unit_rows(batch["vec"]) @ anchors.T)).clip(min=0.0)
-            own = squared.argmin(axis=1)
-            excess = squared - squared[np.arange(len(batch)), own][:, None]
-            reach = excess <= 2.0 * radius * apart[own] + 1e-9
-            lower = np.arange(len(anchors))[None, :] < own[:, None]
-            row, cell = np.nonzero((reach & lower) | (np.arange(len(anchors))[None, :] == own[:, None]))
-            out = batch.iloc[row]
-            yield pd.DataFrame(
-                {"cell": cell.astype("int32"), "home": cell == own[row],
-                 "id": out["id"].to_numpy(), "vec": out["vec"].to_numpy()}
-            )
+            for row, cell, own in place(_unit_rows(batch["vec"])) if len(batch) else ():
+                out = batch.iloc[row]
+                yield pd.DataFrame(
+                    {"cell": cell.astype("int32"), "sub": np.zeros(len(row), dtype="int32"),
+                     "home": np.where(own, 3, 2).astype("int32"), "id": out["id"].to_numpy(),
+                     "vec": out["vec"].to_numpy()}
+                )
 
     kinds = dict(reps.dtypes)
-    return reps.mapInPandas(run, f"cell int, home boolean, id {kinds['id']}, vec {kinds['vec']}")
+    schema = f"cell int, sub int, home int, id {kinds['id']}, vec {kinds['vec']}"
+    placed = reps.mapInPandas(run, schema)
+    return placed if wanted <= LEVEL_ANCHORS else _split(checkpoint(placed), threshold, schema)
+
+
+def _split(placed: DataFrame, threshold: float, schema: str) -> DataFrame:
+    """The cells of the first level, each split by a hashed sample of its vectors as anchors.
+
+    About ``LEVEL_ANCHORS`` for a cell at most. Rows meet the anchors in chunks of about
+    ``ROWS_PER_CELL``, so neither a cell nor all anchors are in one place.
+    """
+    rows = F.col("rows")
+    wanted = F.greatest(
+        F.lit(1), F.least(F.lit(LEVEL_ANCHORS), F.floor(F.sqrt(rows)), 2 + F.floor(rows / ROWS_PER_CELL))
+    )
+    sizes = checkpoint(placed.groupBy("cell").agg(F.count("*").alias("rows")))
+    sized = placed.join(F.broadcast(sizes), "cell")  # at most LEVEL_ANCHORS rows
+    chunks = F.ceil(rows / ROWS_PER_CELL)
+    left = sized.withColumn("chunk", F.pmod(F.xxhash64("id"), chunks).cast("int")).drop("rows")
+    drawn = sized.where(F.pmod(F.xxhash64("id", F.lit("anchor")), rows) < wanted)
+    ordered = F.array_sort(F.collect_list(F.struct("id", "vec")))
+    anchors = drawn.groupBy("cell", "rows").agg(F.transform(ordered, lambda x: x["vec"]).alias("anchors"))
+    right = anchors.select(
+        F.col("cell").alias("_cell"), "anchors",
+        F.explode(F.sequence(F.lit(0), (chunks - 1).cast("int"))).alias("_chunk"),
+    )
+
+    def run(members: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        if members.empty:
+            return members.drop(columns="chunk")
+        unit = _unit_rows(members["vec"])
+        own = _unit_rows(pd.Series(list(known["anchors"].iloc[0]))) if len(known) else np.zeros((1, unit.shape[1]))
+        parts = []
+        for row, sub, at_home in _placer(own, threshold)(unit):
+            out = members.iloc[row]
+            home = (out["home"].to_numpy() & 1) | np.where(at_home, 2, 0)
+            parts.append(out.drop(columns="chunk").assign(sub=sub.astype("int32"), home=home.astype("int32")))
+        return pd.concat(parts)[["cell", "sub", "home", "id", "vec"]]
+
+    return left.groupBy("cell", "chunk").cogroup(right.groupBy("_cell", "_chunk")).applyInPandas(run, schema)
 
 
 def _tiles(cells: DataFrame) -> DataFrame:
     """Cut each cell into blocks of ``TILE_ROWS`` and send rows to all block pairs they belong to."""
-    blocks = cells.groupBy("cell").agg(F.ceil(F.count("*") / TILE_ROWS).cast("int").alias("blocks"))
+    keys = ["cell", "sub"]
+    blocks = checkpoint(
+        cells.groupBy(*keys).agg(F.count("*").alias("_n"))
+        .withColumn("blocks", F.ceil(F.col("_n") / TILE_ROWS).cast("int"))
+    )
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    placed = cells.join(F.broadcast(blocks), "cell").withColumn("own", own)  # a row per cell
+    sizes = blocks.drop("_n")
+    if blocks.count() <= LEVEL_ANCHORS:
+        placed = cells.join(F.broadcast(sizes), keys)  # at most LEVEL_ANCHORS rows
+    else:
+        placed = spread_join(cells, sizes, keys, spread_on=["id"], counts=blocks.drop("blocks"))
     return (
-        placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        placed.withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumns({"p": F.least("own", "other"), "q": F.greatest("own", "other")})
         .drop("blocks", "other")
     )
@@ -161,7 +233,7 @@ def _tile_hits(tile: pd.DataFrame, threshold: float) -> tuple[np.ndarray, ...]:
     left = np.flatnonzero(own == low)
     right = left if low == high else np.flatnonzero(own == high)
     similar = unit[left] @ unit[right].T
-    hit = (similar > threshold) & (home[left][:, None] | home[right][None, :])
+    hit = (similar > threshold) & ((home[left][:, None] | home[right][None, :]) == 3)
     if low == high:
         hit = np.triu(hit, 1)
     i, j = np.nonzero(hit)
@@ -216,7 +288,7 @@ def _joined(
     reps = checkpoint(grouped)
     distinct = reps.select(F.col("rep").alias("id"), "vec")
     tiles = _tiles(_cells(distinct, threshold))
-    edges = tiles.groupBy("cell", "p", "q").applyInPandas(
+    edges = tiles.groupBy("cell", "sub", "p", "q").applyInPandas(
         find(threshold), f"id_a {kind}, id_b {kind}, score double"
     )
     copied = reps.where("_n > 1")

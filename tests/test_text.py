@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -163,6 +164,32 @@ def test_similarity_join_over_many_cells(spark, monkeypatch, threshold):
     assert groups == {i: root(i) if i in linked else None for i in range(300)}
 
 
+@pytest.mark.parametrize("threshold", [0.9, 0.4])
+def test_similarity_join_over_two_levels(spark, monkeypatch, threshold):
+    monkeypatch.setattr(S, "ROWS_PER_CELL", 20)
+    monkeypatch.setattr(S, "TILE_ROWS", 16)
+    monkeypatch.setattr(S, "LEVEL_ANCHORS", 3)
+    points = np.concatenate([clustered(2, 400), np.zeros((2, 8))])
+    with np.errstate(invalid="ignore"):
+        want = brute(points, threshold)
+    found = [(r.id_a, r.id_b) for r in S.similar_pairs(vectors(spark, points), "id", "v", threshold).collect()]
+    assert len(found) == len(set(found)) and set(found) == want
+    rows = vectors(spark, np.unique(points, axis=0)).withColumnRenamed("v", "vec")
+    cells = S._cells(rows, threshold).groupBy("cell").agg(F.countDistinct("sub").alias("subs")).collect()
+    assert len(cells) <= 3 and max(r.subs for r in cells) > 1
+
+
+def test_many_anchors_fit_in_memory():
+    anchors = np.random.default_rng(3).normal(size=(S.LEVEL_ANCHORS, 64))
+    anchors /= np.linalg.norm(anchors, axis=1, keepdims=True)
+    tracemalloc.start()
+    placed = list(S._placer(anchors, 0.9)(anchors))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(own.sum() for _, _, own in placed) == len(anchors)
+    assert peak < 200e6  # a difference in three dimensions takes over 500 MB
+
+
 def test_components_of_a_long_chain(spark):
     chain = spark.range(200).select((F.col("id") + 1).alias("id_a"), F.col("id").alias("id_b"))
     star = spark.range(1001, 1300).select(F.col("id").alias("id_a"), F.lit(1000).cast("bigint").alias("id_b"))
