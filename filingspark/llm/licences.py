@@ -18,7 +18,9 @@ NEGATIVES = 20_000
 VARIANTS = 24
 CALIBRATED = 0.995
 CONFIRMED = 0.6
-LONGEST = 2048
+WINDOW = 80
+OVERLAP = 40
+CONTEXTS = 256
 AROUND = ".,;:!?()[]{}<>\"'`*_|/\\#=+-"
 
 # Short notices and opening sentences of public licences, by family.
@@ -96,18 +98,19 @@ def grams(words: Column) -> Column:
 def paragraphs(docs: DataFrame) -> DataFrame:
     """``doc_id, paragraph, words``: the lines with words of each whole text, numbered from 0.
 
-    A line of more than ``LONGEST`` words is read in stretches of as many, each ending
-    64 words into the next, so a row stays small and no notice is cut in two. Words are
-    made inside an outer ``explode``, behind which no filter can pull them out again.
+    A line of more than ``WINDOW`` words is read in stretches of as many, each beginning
+    ``OVERLAP`` words before the end of the last, so a short notice has its share of the
+    stretch and none of the templates is cut in two. Words are made inside an outer
+    ``explode``, behind which no filter can pull them out again.
     """
     listed = F.transform(
         F.split("text", "\n"), lambda line, i: F.struct(i.alias("paragraph"), words_of(line).alias("all"))
     )
     lines = docs.select("doc_id", F.explode_outer(listed).alias("_line"))
     words = lines.select("doc_id", "_line.*").where(F.size("all") > 0)
-    starts = F.sequence(F.lit(1), F.greatest(F.size("all"), F.lit(1)), F.lit(LONGEST))
+    starts = F.sequence(F.lit(1), F.greatest(F.size("all") - OVERLAP, F.lit(1)), F.lit(WINDOW - OVERLAP))
     cut = words.withColumn("_at", F.explode(starts))
-    return cut.select("doc_id", "paragraph", "_at", F.slice("all", F.col("_at"), F.lit(LONGEST + 64)).alias("words"))
+    return cut.select("doc_id", "paragraph", "_at", F.slice("all", F.col("_at"), F.lit(WINDOW)).alias("words"))
 
 
 def templates(spark: SparkSession) -> DataFrame:
@@ -125,10 +128,11 @@ def examples(docs: DataFrame, negatives: int = NEGATIVES) -> DataFrame:
     """Labelled paragraphs ``family, words, fold``.
 
     Each template gives ``VARIANTS`` forms: whole, and with up to a sixth of its words
-    left out or words of its neighbours put in front and behind. The unknown class is
-    a sample of at most about ``negatives`` paragraphs of the corpus (the bound of the
-    training set), leaving out those that hold half of a template's pairs or more, and
-    templates with their words in another order. Choices hang on hashes only.
+    left out. The unknown class is a sample of at most about ``negatives`` stretches of
+    the corpus, as ``paragraphs`` cuts them (the bound of the training set), leaving out
+    those that hold half of a template's pairs or more, and templates with their words in
+    another order. Forms of both kinds are shown alone and inside one of ``CONTEXTS``
+    stretches of the sample. Choices hang on hashes only.
     """
     spark = docs.sparkSession
     known = templates(spark)
@@ -154,10 +158,27 @@ def examples(docs: DataFrame, negatives: int = NEGATIVES) -> DataFrame:
         _drawn(F.lit("line"), "doc_id", "paragraph", "_at") < 0.125
     )
     clean = some.where(likeness(F.col("words")) < 0.5).select(
-        F.lit(UNKNOWN).alias("family"), F.slice("words", 1, 128).alias("words"),
+        F.lit(UNKNOWN).alias("family"), "words",
         _drawn(F.lit("fold"), "doc_id", "paragraph").alias("fold"),
     ).limit(negatives)
-    return positive.unionByName(mixed).unionByName(clean)
+    clean = stored(clean, "clean")
+    around = clean.orderBy(F.size("words").desc(), F.xxhash64("words")).limit(CONTEXTS)
+    contexts = around.agg(F.array_sort(F.collect_list("words")).alias("contexts"))  # one row of at most CONTEXTS
+    turn = F.xxhash64("family", F.size("words"), F.hash("words"), "fold")
+    shown = positive.unionByName(mixed)
+    inside = shown.crossJoin(F.broadcast(contexts)).where(F.size("contexts") > 0).withColumn(
+        "_other", F.element_at("contexts", (F.pmod(turn, F.size("contexts")) + 1).cast("int"))
+    )
+    room = F.greatest(F.lit(WINDOW) - F.size("words"), F.lit(0))
+    before = F.floor(_drawn(F.lit("before"), "family", "fold") * (room + 1)).cast("int")
+    inside = inside.select(
+        "family",
+        F.concat(
+            F.slice("_other", F.lit(1), before), F.col("words"), F.slice("_other", before + 1, room - before)
+        ).alias("words"),
+        "fold",
+    )
+    return shown.unionByName(inside).unionByName(clean)
 
 
 def _template_pairs() -> list[tuple[str, int, list[str]]]:
@@ -272,7 +293,8 @@ def scan(docs: DataFrame, classifier: Classifier, confirmed: float = CONFIRMED)
     the calibrated chance, are left out. ``confirmed`` says whether the paragraph holds
     at least that share of the word pairs of one of the family's templates. NULL and
     empty texts have no paragraphs; repeated rows are reported each. ``first_word`` is where
-    the stretch of the line begins that was read.
+    the stretch of the line begins that was read; a notice where two stretches overlap is
+    told by both.
     """
     called = classifier.chances(paragraphs(docs)).where(
         (F.col("family") != UNKNOWN) & (F.col("chance") >= classifier.least)

@@ -51,6 +51,24 @@ def test_awkward_rows(spark, classifier):
     assert licences.scan(docs.documents(spark, []), classifier).count() == 0
 
 
+def test_notices_inside_long_lines(spark, classifier):
+    draw = random.Random(9)
+    texts = [t for family in licences.TEMPLATES.values() for t in family]
+    families = [f for f, family in licences.TEMPLATES.items() for _ in family]
+    far = " ".join(["river stone"] * 3000)
+    rows = [(0, f"{far} {licences.TEMPLATES['MIT'][0]}", None, None, 0)]
+    for i, text in enumerate(texts, 1):
+        own = draw.choices(docs.LEXICON, k=draw.randint(200, 900))
+        at = draw.randrange(len(own))
+        rows.append((i, " ".join([*own[:at], text, *own[at:]]), None, None, 0))
+    plain = [(100 + i, " ".join(draw.choices(docs.LEXICON, k=900)), None, None, 0) for i in range(20)]
+    got = licences.scan(docs.documents(spark, rows + plain), classifier).collect()
+    told = {(r["doc_id"], r["family"]) for r in got if r["confirmed"] and r["likeness"] == 1.0}
+    want = {(0, "MIT"), *enumerate(families, 1)}
+    assert (0, "MIT") in told and len(told & want) >= 0.95 * len(want)
+    assert all(r["paragraph"] == 0 for r in got) and not [r for r in got if r["doc_id"] >= 100]
+
+
 def test_empty_corpus_trains(spark):
     assert licences.train(docs.documents(spark, []), negatives=10).temperature > 0
 
