@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filingspark.llm import (
-    ball_tree, language, licences, merkle, mixing, packing, parity_join, shards, spot_signatures, url_rules,
+    ball_tree, language, licences, merkle, mixing, packing, parity_join, resample, shards, spot_signatures, url_rules,
 )
 from filingspark.llm.tables import table
 from filingspark.session import ship
@@ -166,6 +166,61 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(docs, licences.train(docs))
 
 
+# CRC-32 of the bytes of a text, in SQL: a table of 256 steps, and a fold over the bytes in hex
+CRC_SQL = """
+    steps AS (
+      SELECT list(c ORDER BY b) AS step FROM (
+        SELECT b, list_reduce(range(8), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, b) AS c
+        FROM range(256) r(b))),
+    crcs AS (
+      SELECT feature, xor(list_reduce(
+        list_transform(range(0, octet_length(encode(feature))),
+          lambda i: CAST('0x' || substr(hex(encode(feature)), 2 * i + 1, 2) AS BIGINT)),
+        lambda c, b: xor(c // 256, step[1 + xor(c, b) % 256]), 4294967295::BIGINT), 4294967295) AS crc
+      FROM (SELECT DISTINCT feature FROM words) CROSS JOIN steps)"""
+
+
+@query(
+    "op11_resample",
+    rf"""
+    WITH texts AS (
+      SELECT 'd' AS side, row_number() OVER () AS row, doc_id AS id, text FROM documents
+      UNION ALL SELECT 'b', row_number() OVER (), item_id, text FROM benchmark),
+    split AS (
+      SELECT side, row, id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+    words AS (
+      SELECT side, row, unnest(list_concat(w,
+        list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS feature FROM split),{CRC_SQL},
+    counts AS (
+      SELECT b AS bucket, count(side) FILTER (side = 'd') AS s, count(side) FILTER (side = 'b') AS t
+      FROM range(10000) r(b) LEFT JOIN (SELECT side, crc % 10000 AS bucket FROM words JOIN crcs USING (feature)) ON b = bucket
+      GROUP BY b),
+    gains AS (
+      SELECT bucket, CAST(floor(1000 * ln((t + 1.0::DOUBLE) * (sum(s) OVER () + 10000)::DOUBLE
+        / ((s + 1.0::DOUBLE) * (sum(t) OVER () + 10000)::DOUBLE))) AS BIGINT) AS gain FROM counts),
+    weighed AS (
+      SELECT row, count(*) AS n, sum(gain) AS total
+      FROM words JOIN crcs USING (feature) JOIN gains ON bucket = crc % 10000 WHERE side = 'd' GROUP BY row),
+    scored AS (
+      SELECT id AS doc_id, len(w) AS n_words, coalesce(n, 0) AS n_features,
+        CAST(coalesce((total - ((total % n) + n) % n) // n, 0) AS BIGINT) AS weight,
+        CAST('0x' || substr(sha256('7:' || coalesce(CAST(id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h
+      FROM split LEFT JOIN weighed USING (row) WHERE side = 'd'),
+    noised AS (
+      SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score FROM scored),
+    ranked AS (
+      SELECT *, row_number() OVER (ORDER BY n_words >= 20 DESC, score DESC, doc_id NULLS LAST, weight, n_features) AS r,
+        (count(*) FILTER (n_words >= 20) OVER ()) * 25 // 100 AS drawn FROM noised)
+    SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_features AS BIGINT) AS n_features, weight, score,
+      CASE WHEN r <= drawn THEN r END AS rank FROM ranked
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
