@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filingspark.llm import (
-    ball_tree, language, licences, merkle, mixing, packing, parity_join, resample, shards, spot_signatures, url_rules,
+    ball_tree, language, licences, merkle, mixing, packing, parity_join, pieces, resample, shards, spot_signatures,
+    url_rules,
 )
 from filingspark.llm.tables import table
 from filingspark.session import ship
@@ -221,6 +222,11 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op12_piece_codec")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digests(table(spark, sf_dir, "documents"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
