@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filingspark.llm import (
-    ball_tree, language, licences, merkle, mixing, packing, parity_join, pieces, resample, shards, spot_signatures,
-    url_rules,
+    ball_tree, language, licences, merkle, mixing, packing, parity_join, pieces, prefix_trie, resample, shards,
+    spot_signatures, url_rules,
 )
 from filingspark.llm.tables import table
 from filingspark.session import ship
@@ -227,6 +227,38 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"))
 
 
+@query(
+    "op13_prefix_trie",
+    rf"""
+    WITH t AS (
+      SELECT conv_id, list(struct_pack(role := coalesce(role, ''), text := coalesce(text, '')) ORDER BY turn NULLS FIRST) AS turns
+      FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+    words AS (SELECT CAST(conv_id AS VARCHAR) AS feature FROM t),{CRC_SQL},
+    r AS (
+      SELECT c.conv_id, list_concat(coalesce(b.turns[1:crc % 4], []), c.turns[crc % 4 + 1:]) AS turns
+      FROM t c JOIN crcs ON feature = CAST(c.conv_id AS VARCHAR)
+      LEFT JOIN t b ON b.conv_id = c.conv_id - ((c.conv_id % 20) + 20) % 20),
+    p AS (SELECT conv_id, len(turns) AS whole, d, turns[1:d] AS prefix FROM (
+      SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM r)),
+    n AS (
+      SELECT prefix, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+        sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (whole = d), '')) AS ends_sha256,
+        CASE WHEN d = 0 THEN 0 ELSE (count(*) - 1) * len(regexp_extract_all(prefix[d].text, '[^\x20\x09-\x0D]+')) END AS saved
+      FROM p GROUP BY prefix, d),
+    c AS (SELECT prefix[1:d - 1] AS prefix, d - 1 AS d, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL),
+    f AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN c USING (prefix, d)),
+    u AS (
+      SELECT prefix[1:a] AS prefix, a AS d, sum(saved) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+      FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM f) GROUP BY ALL)
+    SELECT f.conv_id, f.d AS depth, o.conv_id AS parent_conv_id, f.n_convs, f.n_children, u.n_leaves,
+      CAST(u.saved_tokens AS BIGINT) AS saved_tokens, f.ends_sha256
+    FROM f JOIN u USING (prefix, d) LEFT JOIN n o ON o.d = f.d - 1 AND o.prefix = f.prefix[1:f.d - 1]
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
