@@ -48,8 +48,9 @@ def windows(texts: pa.Array, longest: int, most: int = TEXT_BYTES) -> Iterator[t
         while at < stop:
             end = min(at + most, stop)
             while end < stop and _WORD[_LOWER[data[end]]]:
-                gap = np.flatnonzero(~_WORD[_LOWER[data[end : end + most]]])
-                end += int(gap[0]) if len(gap) else min(most, stop - end)
+                near = min(end + most, stop)
+                gap = np.flatnonzero(~_WORD[_LOWER[data[end:near]]])
+                end = end + int(gap[0]) if len(gap) else near
             part = data[at:end]
             yield first, part, np.array([0, len(part)]), known
             if end == stop:
