@@ -232,5 +232,7 @@ def resample(
     for itself; an empty table gives no rows, an empty target only smooths; other columns
     than ``doc_id`` and ``text`` are not read.
     """
-    gain = gains(bucket_counts(docs, longest, buckets), bucket_counts(target, longest, buckets), buckets)
+    # read twice each, at most ``buckets`` rows
+    source, wanted = (stored(bucket_counts(t, longest, buckets), "counts") for t in (docs, target))
+    gain = gains(source, wanted, buckets)
     return draw(scored(weights(docs, gain, longest, buckets), seed), least_words, percent)
