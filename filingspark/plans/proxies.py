@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from filingspark.operators.keys import first_wins
 
+DEALT_ROWS = 20_000
+
 
 def _epoch(ts: str) -> Column:
     return F.unix_timestamp(F.col(ts).cast("timestamp"))
@@ -27,8 +29,14 @@ class Tables:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
     def dealt(self, name: str) -> DataFrame:
-        """A table for heavy work per row: as it is stored, so its files set the tasks."""
-        return self[name]
+        """A table for heavy work per row, in tasks of at most ``DEALT_ROWS`` rows.
+
+        A table of enough files is read as it lies; only one that is stored in fewer
+        files than it needs tasks is dealt out.
+        """
+        rows = self[name]
+        tasks = -(-rows.count() // DEALT_ROWS)
+        return rows if tasks <= len(rows.inputFiles()) else rows.repartition(tasks)
 
     def candles_raw(self) -> DataFrame:
         value = F.col("value")

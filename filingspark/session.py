@@ -79,20 +79,22 @@ def ship(spark: SparkSession) -> None:
     spark.sparkContext.addPyFile(archive)
 
 
-_homes: dict[tuple[str, str], str] = {}
+def _removed_at_exit(context, folder: str) -> None:
+    """Make ``folder``, to be removed with all that is in it when the driver ends."""
+    jvm = getattr(context, "_jvm", None)
+    if jvm is None:  # no driver of Spark in this process
+        return
+    place = jvm.org.apache.hadoop.fs.Path(folder)
+    files = place.getFileSystem(context._jsc.hadoopConfiguration())
+    files.mkdirs(place)
+    files.deleteOnExit(place)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder, removed when the driver ends."""
-    shared, context = shared_dir(spark), spark.sparkContext
-    if (context.applicationId, shared) not in _homes:
-        home = f"{shared}/filingspark/{context.applicationId}-{uuid.uuid4().hex}"
-        place = context._jvm.org.apache.hadoop.fs.Path(home)
-        files = place.getFileSystem(context._jsc.hadoopConfiguration())
-        files.mkdirs(place)
-        files.deleteOnExit(place)
-        _homes[context.applicationId, shared] = home
-    return f"{_homes[context.applicationId, shared]}/{name}-{uuid.uuid4().hex}"
+    folder = f"{shared_dir(spark)}/filingspark/{name}-{uuid.uuid4().hex}"
+    _removed_at_exit(spark.sparkContext, folder)
+    return f"{folder}/rows"
 
 
 def checkpoint(df):

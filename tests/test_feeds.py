@@ -170,6 +170,26 @@ def test_zip_scan(spark, tmp_path):
     assert feeds.company_facts(found).select("cik").distinct().count() == 23
 
 
+def test_empty_archives(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "none.zip", "w"):
+        pass
+    with zipfile.ZipFile(tmp_path / "one.zip", "w") as z:
+        z.writestr("a.json", "{}")
+    found = archives.zip_scan(spark, f"{tmp_path}/*.zip").select("entry", "content")
+    assert [tuple(r) for r in found.collect()] == [("a.json", "{}")]
+
+
+def test_empty_partitions_leave_no_archive(spark, tmp_path):
+    df = spark.createDataFrame([("a.json", "{}"), ("b.json", "[]")], "entry string, content string")
+    archives.write_archives(df.repartition(8), str(tmp_path / "some"))
+    assert 1 <= len(list((tmp_path / "some").glob("*.zip"))) <= 3
+    assert not list((tmp_path / "some").glob("*.tmp"))
+    found = archives.zip_scan(spark, f"{tmp_path}/some/*.zip").select("entry", "content")
+    assert sorted(map(tuple, found.collect())) == [("a.json", "{}"), ("b.json", "[]")]
+    archives.write_archives(df.where("false").repartition(3), str(tmp_path / "none"))
+    assert archives.zip_scan(spark, f"{tmp_path}/none/*.zip").count() == 0
+
+
 def test_archives_round_trip(spark, tmp_path):
     df = spark.range(50).select(F.concat(F.lit("e"), "id").alias("entry"), F.concat(F.lit("ü"), "id").alias("content"))
     archives.write_archives(df.repartition(3), str(tmp_path / "z"))
