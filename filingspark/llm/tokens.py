@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,34 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def _byte_letters() -> dict[str, int]:
+    """The letters that stand for bytes in the vocabulary file: themselves if they can be seen, else from 256 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in seen]
+    return {chr(b): b for b in seen} | {chr(256 + i): b for i, b in enumerate(hidden)}
+
+
+@cache
+def _merger(path: str) -> Callable[[bytes], list[int]]:
+    """Ids of a single word.
+
+    Where every merge of the file makes the token of the next number, the number ranks the
+    merge, and a word needs no more than the ranks; another file's words go to the tokenizer.
+    """
+    with open(path, encoding="utf-8") as file:
+        model = json.load(file)["model"]
+    letters, merges = _byte_letters(), [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    made = [model["vocab"].get("".join(m)) for m in merges]
+    plain = not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback"))
+    if not plain or model.get("ignore_merges") or made != list(range(256, 256 + len(made))):
+        encode = _tokenizer(path)
+        return lambda word: encode.encode(word.decode(), add_special_tokens=False).ids
+    import tiktoken
+
+    ranks = {bytes(letters[c] for c in t): i for t, i in model["vocab"].items() if i < 256 + len(made)}
+    return tiktoken.Encoding("words", pat_str=".", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+
+
 def word_starts(points: np.ndarray, kinds: np.ndarray, opens: np.ndarray) -> np.ndarray:
     """Where the words of the vocabulary's pattern begin; ``opens`` marks the texts' first characters.
 
@@ -77,7 +106,7 @@ class Encoder:
     """
 
     def __init__(self, path: str):
-        self.encode = _tokenizer(path)
+        self.encode, self.merge = _tokenizer(path), _merger(path)
         self.special = [t.content for t in self.encode.get_added_tokens_decoder().values()]
         self._reset()
 
@@ -90,18 +119,18 @@ class Encoder:
     def _numbers(self, words: list[bytes]) -> np.ndarray:
         if len(self.known) + len(words) > CACHED_WORDS:
             self._reset()
-        numbers = list(map(self.known.get, words))
-        fresh = [w for w, n in zip(words, numbers) if n is None]
-        if fresh:
-            found = self.encode.encode_batch_fast(list(map(bytes.decode, fresh)), add_special_tokens=False)
-            ids = [f.ids for f in found]
+        numbers = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(numbers < 0)
+        if len(new):
+            fresh = [words[i] for i in new.tolist()]
+            ids = list(map(self.merge, fresh))
             lengths = np.fromiter(map(len, ids), np.int64, len(ids))
             self.begin = np.append(self.begin, len(self.flat) + np.cumsum(lengths) - lengths)
             self.length = np.append(self.length, lengths)
             self.flat = np.append(self.flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum())))
-            self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh))))
-            numbers = list(map(self.known.get, words))
-        return np.array(numbers, dtype=np.int64)
+            numbers[new] = np.arange(len(self.known), len(self.known) + len(new))
+            self.known.update(zip(fresh, numbers[new].tolist()))
+        return numbers
 
     def ids(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text, as the tokenizer gives them; none for NULL."""
