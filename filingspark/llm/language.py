@@ -13,8 +13,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from filingspark.llm.memory import tidy
 from filingspark.llm.shingles import slices
 from filingspark.llm.spans import LETTER, coded, kinds_of, listed
 
@@ -243,6 +243,7 @@ def _runs(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, list[b
 def _counts(langs: list[str], path: str):
     index = {lang: i for i, lang in enumerate(langs)}
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = pieces(path)
         uses = np.zeros((known.count + 1, len(langs)), dtype=np.int64)
@@ -307,26 +308,13 @@ def learn(labelled: DataFrame, path: str | None = None) -> tuple[list[str], np.n
     return langs, (uses + PRIOR * start[:, None]) / (uses.sum(axis=0) + PRIOR)
 
 
-def identify(
-    docs: DataFrame, model: tuple[list[str], np.ndarray], path: str | None = None,
-    columns: list[str] | None = None,
-) -> DataFrame:
-    """``columns`` (by default all), ``lang_pred`` and ``score`` of rows with ``text``.
-
-    A text is worth the product over its words (runs of letters in lower case) of the
-    sum over all their segmentations into pieces. ``lang_pred`` is the language in
-    which that is greatest, the first by name among equals; ``und`` if the text is
-    NULL or has no letter, or if no language was learnt. ``score`` is the posterior of
-    that language with the evidence tempered to ``WORTH`` words, 0 for ``und``.
-    Columns of these names are replaced.
-    """
-    path = path or vocabulary_path()
+def _judge(model: tuple[list[str], np.ndarray], path: str):
+    """A function from arrays of texts to the language and score of each."""
     langs, chances = model
     padded = np.concatenate([chances, np.zeros((1, len(langs)))])
-    kept = [c for c in columns or docs.columns if c not in ("lang_pred", "score")]
     names = np.array([*langs, UNKNOWN], dtype=object)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(arrays: Iterator[pa.Array]) -> Iterator[tuple[pa.Array, pa.Array]]:
         known = pieces(path)
         seen: dict[bytes, int] = {}
         worth = np.zeros((1024, len(langs)))
@@ -346,30 +334,57 @@ def identify(
                 worth[base + part] = known.log_totals(rows, lengths, padded)
             return worth[[seen[w] for w in words]]
 
-        for batch in batches:
-            total = np.zeros((batch.num_rows, len(langs)))
-            words_in = np.zeros(batch.num_rows, dtype=np.int64)
+        for texts in arrays:
+            total = np.zeros((len(texts), len(langs)))
+            words_in = np.zeros(len(texts), dtype=np.int64)
             if langs:
-                for first, owner, codes, words, is_word in _runs(batch.column("text")):
+                for first, owner, codes, words, is_word in _runs(texts):
                     table = np.zeros((len(words), len(langs)))
                     table[is_word] = scores([w for w, k in zip(words, is_word) if k])
                     rows = first + owner
-                    words_in += np.bincount(rows[is_word[codes]], minlength=batch.num_rows)
+                    words_in += np.bincount(rows[is_word[codes]], minlength=len(texts))
                     for i in range(len(langs)):
-                        total[:, i] += np.bincount(rows, weights=table[codes, i], minlength=batch.num_rows)
+                        total[:, i] += np.bincount(rows, weights=table[codes, i], minlength=len(texts))
             empty = words_in == 0
             best = np.where(empty, len(langs), total.argmax(axis=1) if langs else 0)
             cooled = (total - total.max(axis=1, keepdims=True, initial=-np.inf)) if langs else total
             cooled = cooled / np.maximum(1.0, words_in / WORTH)[:, None]
             score = np.where(empty, 0.0, 1.0 / np.maximum(1.0, np.exp(cooled).sum(axis=1)))
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in kept], pa.array(names[best], pa.string()), pa.array(score)],
-                names=[*kept, "lang_pred", "score"],
-            )
-
-    added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-    schema = T.StructType([*docs.select(*kept).schema.fields, *added])
-    return docs.select(*{*kept, "text"}).mapInArrow(run, schema)
+            yield pa.array(names[best], pa.string()), pa.array(score)
+
+    return run
+
+
+def identify(
+    docs: DataFrame, model: tuple[list[str], np.ndarray], path: str | None = None,
+    columns: list[str] | None = None,
+) -> DataFrame:
+    """``columns`` (by default all), ``lang_pred`` and ``score`` of rows with ``text``.
+
+    A text is worth the product over its words (runs of letters in lower case) of the
+    sum over all their segmentations into pieces. ``lang_pred`` is the language in
+    which that is greatest, the first by name among equals; ``und`` if the text is
+    NULL or has no letter, or if no language was learnt. ``score`` is the posterior of
+    that language with the evidence tempered to ``WORTH`` words, 0 for ``und``.
+    Columns of these names are replaced. Only texts reach the Python workers.
+    """
+    judge = _judge(model, path or vocabulary_path())
+    kept = [c for c in columns or docs.columns if c not in ("lang_pred", "score")]
+
+    def judged(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        @tidy
+        def run(arrays):
+            for pred, score in judge(arrays):
+                yield pa.StructArray.from_arrays([pred, score], names=["lang_pred", "score"])
+
+        yield from run(texts)
+
+    found = F.arrow_udf(judged, "lang_pred string, score double").asNondeterministic()  # so that it runs once a row
+    name = "_judged"
+    while name in docs.columns:
+        name += "_"
+    rows = docs.select(*[F.col(c) for c in kept], found(F.col("text")).alias(name))
+    return rows.select(*kept, f"{name}.lang_pred", f"{name}.score")
 
 
 def held_out(doc_id: Column, folds: int = 3, fold: int = 1) -> Column:

@@ -13,6 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from filingspark.llm.memory import tidy
 from filingspark.llm.tables import stored
 from filingspark.llm.tokens import Encoder, vocabulary_path
 
@@ -23,15 +24,18 @@ GROUPS = 64
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, nth long"
 
 
-def _pieces(path: str, room: int, end: int):
+def _pieces(path: str, room: int, end: int, with_ids: bool):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Encoder(path)
         task = TaskContext.get().partitionId()
         met = np.zeros(room + 1, dtype=np.int64)
         for batch in batches:
-            owner, piece, start, length, crc, nth = [], [], [], [], [], []
+            owner, piece, start, length, crc, nth, tokens = [], [], [], [], [], [], []
             for row, own in enumerate(known.ids(batch.column("text"))):
                 ids = np.append(own, np.uint32(end)).astype("<u4")
+                if with_ids:
+                    tokens.append(ids)
                 cuts = [0, *range((len(ids) - 1) % room + 1, len(ids) + 1, room)]
                 for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
                     owner.append(row)
@@ -41,14 +45,17 @@ def _pieces(path: str, room: int, end: int):
                     crc.append(zlib.crc32(ids[a:b].tobytes()))
                     nth.append(int(met[b - a]))
                     met[b - a] += 1
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id").take(pa.array(owner, pa.int64())), pa.array(piece, pa.int32()),
-                    *[pa.array(c, pa.int64()) for c in (start, length, crc)],
-                    pa.array([task] * len(owner), pa.int32()), pa.array(nth, pa.int64()),
-                ],
-                names=["doc_id", "piece", "start", "length", "ids_crc32", "task", "nth"],
-            )
+            columns = [
+                batch.column("doc_id").take(pa.array(owner, pa.int64())), pa.array(piece, pa.int32()),
+                *[pa.array(c, pa.int64()) for c in (start, length, crc)],
+                pa.array([task] * len(owner), pa.int32()), pa.array(nth, pa.int64()),
+            ]
+            names = ["doc_id", "piece", "start", "length", "ids_crc32", "task", "nth"]
+            if with_ids:  # the pieces of a batch lie one after the other
+                flat = np.concatenate([*tokens, np.zeros(0, dtype="<u4")]).astype(np.int32)
+                columns.append(pa.ListArray.from_arrays(pa.array(np.cumsum([0, *length]), pa.int32()), pa.array(flat)))
+                names.append("ids")
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
 
@@ -243,34 +250,44 @@ def _placed(runs: np.ndarray):
     return run
 
 
-def tokenised(docs: DataFrame, path: str | None = None, room: int = ROOM, end: int = END) -> DataFrame:
+def tokenised(
+    docs: DataFrame, path: str | None = None, room: int = ROOM, end: int = END, ids: bool = False
+) -> DataFrame:
     """Pieces of ``doc_id, text``: ids of the whole text and ``end``, cut every ``room`` tokens.
 
     The first piece of a cut document takes what does not fill a sequence. ``nth``
     counts the pieces of the same length within the task, so the rows must be stored
-    before they are used.
+    before they are used. With ``ids`` a row also holds the ids themselves.
     """
     rows = docs.select("doc_id", "text")
-    return rows.mapInArrow(_pieces(path or vocabulary_path(), room, end), PIECES)
+    schema = PIECES + (", ids array<int>" if ids else "")
+    return rows.mapInArrow(_pieces(path or vocabulary_path(), room, end, ids), schema)
 
 
-def pack(docs: DataFrame, path: str | None = None, room: int = ROOM, end: int = END) -> DataFrame:
-    """``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` of every piece.
+def pack(
+    docs: DataFrame, path: str | None = None, room: int = ROOM, end: int = END, ids: bool = False
+) -> DataFrame:
+    """``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` of every piece, and on demand its ``ids``.
 
     A NULL or empty text is the single id ``end``; repeated rows are packed each for
     itself; an empty table gives no rows. The plan is made on the driver from the
     number of pieces of each length, at most ``room`` rows; a piece's place in its
     length is its place within its task and the counts of the tasks before it.
     """
-    pieces = stored(tokenised(docs, path, room, end), "pieces")
+    pieces = stored(tokenised(docs, path, room, end, ids), "pieces")
     counts = pieces.groupBy("length", "task").agg(F.count("*").alias("n"))
     plan = Plan({r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}, room)
     earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.select("length", "task", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    ranked = pieces.join(before, ["length", "task"]).select(
-        "doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("nth")).alias("rank")
-    )
-    return ranked.mapInArrow(
-        _placed(plan.table()),
-        "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long",
+    kept = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if ids else [])]
+    ranked = pieces.join(before, ["length", "task"]).select(*kept, (F.col("before") + F.col("nth")).alias("rank"))
+    kinds = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if ids else "")
+    return ranked.mapInArrow(_placed(plan.table()), f"{kinds}, sequence_id long, offset long")
+
+
+def sequences(packed: DataFrame) -> DataFrame:
+    """``sequence_id, ids`` from pieces with their ids: the pieces of a sequence in the order of their places."""
+    piece = F.struct("offset", "ids")
+    return packed.groupBy("sequence_id").agg(F.sort_array(F.collect_list(piece)).alias("_pieces")).select(
+        "sequence_id", F.flatten(F.transform("_pieces", lambda p: p["ids"])).alias("ids")
     )

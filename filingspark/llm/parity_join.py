@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from filingspark.llm.memory import tidy
 from filingspark.llm.shingles import mixed, shingle_sets, slices
 from filingspark.llm.tables import stored
 from filingspark.operators.keys import spread_join
@@ -95,6 +96,7 @@ def _sets(batches: Iterator[pa.RecordBatch], column: str = "text"):
             yield batch.slice(first, last - first), list(shingle_sets(data, offsets))
 
 
+@tidy
 def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, sets in _sets(batches):
         yield pa.RecordBatch.from_arrays(
@@ -108,6 +110,7 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+@tidy
 def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: set[int] = set()  # copies within the task give their keys once
     for _, sets in _sets(batches):

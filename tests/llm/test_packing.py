@@ -64,6 +64,21 @@ def test_pack(spark, tokenizer):
     assert used <= -(-sum(r["length"] for r in got) // 1024) + 2
 
 
+def test_sequences_hold_the_ids(spark, tokenizer):
+    rows = docs.corpus()
+    packed = packing.pack(docs.documents(spark, rows).repartition(3), ids=True)
+    places = packed.select("doc_id", "piece", "sequence_id", "offset", "length", "ids", "ids_crc32").collect()
+    laid = {r["sequence_id"]: r["ids"] for r in packing.sequences(packed).collect()}
+    whole = defaultdict(list)
+    for r in sorted(places, key=lambda r: r["piece"]):
+        assert laid[r["sequence_id"]][r["offset"] : r["offset"] + r["length"]] == r["ids"]
+        assert zlib.crc32(np.array(r["ids"], dtype="<u4").tobytes()) == r["ids_crc32"]
+        whole[r["doc_id"]] += r["ids"]
+    texts = tokenizer.encode_batch([r[1] or "" for r in rows], add_special_tokens=False)
+    assert whole == {r[0]: [*t.ids, 2] for r, t in zip(rows, texts)}
+    assert max(map(len, laid.values())) <= 1024
+
+
 def test_repeated_rows_and_empty_table(spark):
     one = docs.documents(spark, [(1, "a b", None, None, 3)] * 3 + [(None, None, None, None, None)])
     got = sorted((r["doc_id"] or 0, r["length"], r["offset"]) for r in packing.pack(one).collect())
