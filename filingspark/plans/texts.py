@@ -7,6 +7,7 @@ import math
 from pyspark.sql import functions as F
 
 from filingspark.functions import vectors as V
+from filingspark.operators import ann
 from filingspark.operators import companies as C
 from filingspark.operators import similarity as S
 from filingspark.operators import stats
@@ -291,6 +292,44 @@ def knn_filtered(t: Tables):
     return hits.withColumn("score", F.round("score", 6))
 
 
+def _searched(t: Tables, k: int, where=None):
+    """Hash tables made, searched for the questions, and held against the exact search.
+
+    A row per question: how many hits, whether all their scores are those of the exact
+    search, and whether over all questions nine of ten exact hits were found. The vectors
+    of the given tables lie in no groups, so a search has to score most of them: twice as
+    many candidates as rows, counted in each of eight tables.
+    """
+    vectors = t["embeddings"]
+    index = ann.build_index(vectors, scratch(t.spark, "index"), "vec_id", "embedding", ["label"])
+    found = ann.knn_lsh(t.spark, index, QUESTIONS, k, 2 * vectors.count(), ["label"], where=where)
+    every = S.scores(vectors.select("vec_id", "embedding"), "embedding", QUESTIONS)
+    exact = S.knn(vectors, "embedding", QUESTIONS, k, "vec_id", ["label"], where=where)
+    same = every.withColumnRenamed("score", "true_score")
+    hits = found.join(same, ["query", "vec_id"]).groupBy("query").agg(
+        F.count("*").alias("hits"), F.bool_and(F.abs(F.col("score") - F.col("true_score")) < 1e-6).alias("same_scores")
+    )
+    met = exact.join(found.select("query", "vec_id"), ["query", "vec_id"], "left_semi")
+    recall = met.agg(F.count("*").alias("met")).crossJoin(exact.agg(F.count("*").alias("wanted")))  # one row
+    return hits.crossJoin(F.broadcast(recall)).select(
+        "query", "hits", "same_scores", (F.col("met") >= 0.9 * F.col("wanted")).alias("enough")
+    )
+
+
+_SEARCHED = """SELECT query, count(*) AS hits, true AS same_scores, true AS enough FROM
+    ({ranked} QUALIFY rank <= {k}) GROUP BY query"""
+
+
+@query("knn_lsh", _SEARCHED.format(ranked=_RANKED.format(where=""), k=10))
+def knn_lsh(t: Tables):
+    return _searched(t, 10)
+
+
+@query("knn_lsh_filtered", _SEARCHED.format(ranked=_RANKED.format(where="WHERE label = 3"), k=5))
+def knn_lsh_filtered(t: Tables):
+    return _searched(t, 5, F.col("label") == 3)
+
+
 @query("knn_threshold", f"SELECT query, vec_id, label, round(score, 6) AS score FROM ({_SCORED}) WHERE score >= 0.2")
 def knn_threshold(t: Tables):
     hits = S.over_threshold(t["embeddings"].select("vec_id", "label", "embedding"), "embedding", QUESTIONS, 0.2)
