@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+import json
 import math
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
@@ -12,6 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from filingspark.functions.vectors import METRICS, score_all
 
@@ -62,6 +64,13 @@ class Index:
     tables: int
     bits: int
     seed: int
+    columns: str
+
+    def rows(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(T.StructType.fromJson(json.loads(self.columns))).parquet(f"{self.path}/rows")
+
+    def counts(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema("bucket long, n long, table int").parquet(f"{self.path}/counts")
 
     @property
     def cell_bits(self) -> int:
@@ -97,20 +106,20 @@ def build_index(
     dimensions = dimensions or 1
     if bits is None:
         bits = max(1, min(MOST_BITS, math.ceil(math.log2(max(1, count) / ROWS_PER_BUCKET)) if count else 1))
-    index = Index(path, vector, key, dimensions, tables, bits, seed)
-    found = F.arrow_udf(_signatures(index.directions()), "array<long>")
+    found = F.arrow_udf(_signatures(planes(dimensions, tables, bits, seed)), "array<long>")
     rows = vectors.select(key, *fields, F.col(vector).cast("array<float>").alias(vector)).withColumn("_found", found(vector))
     placed = rows.select(key, *fields, vector, F.posexplode("_found").alias("table", "bucket")).withColumn(
-        "cell", F.shiftright("bucket", bits - index.cell_bits).cast("int")
+        "cell", F.shiftright("bucket", bits - min(bits, CELL_BITS)).cast("int")
     )
+    index = Index(path, vector, key, dimensions, tables, bits, seed, placed.schema.json())
     dealt = placed.hint("rebalance", F.col("table"), F.col("cell")).sortWithinPartitions("table", "cell", "bucket", key)
     dealt.write.mode("overwrite").partitionBy("table", "cell").parquet(f"{path}/rows")
-    counts = spark.read.schema(placed.schema).parquet(f"{path}/rows").groupBy("table", "bucket").agg(F.count("*").alias("n"))
+    counts = index.rows(spark).groupBy("table", "bucket").agg(F.count("*").alias("n"))
     counts.hint("rebalance", F.col("table")).sortWithinPartitions("bucket").write.mode("overwrite").partitionBy(
         "table").parquet(f"{path}/counts")
     about = spark.createDataFrame(
-        [(vector, key, dimensions, tables, bits, seed)],
-        "vector string, key string, dimensions int, tables int, bits int, seed long",
+        [(vector, key, dimensions, tables, bits, seed, index.columns)],
+        "vector string, key string, dimensions int, tables int, bits int, seed long, columns string",
     )
     about.coalesce(1).write.mode("overwrite").parquet(f"{path}/about")
     return index
@@ -175,9 +184,9 @@ def knn_lsh(
         for table, bucket, cost in probes(index, query, most_probes)
     ]
     asked = spark.createDataFrame(wanted, "query string, number int, table int, bucket long, cost double")
-    rows = _buckets(spark.read.parquet(f"{index.path}/rows"), index, wanted)
+    rows = _buckets(index.rows(spark), index, wanted)
     if where is None:
-        counts = spark.read.parquet(f"{index.path}/counts")
+        counts = index.counts(spark)
     else:
         rows = rows.where(where)
         counts = rows.groupBy("table", "bucket").agg(F.count("*").alias("n"))
