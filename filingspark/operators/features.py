@@ -71,12 +71,13 @@ def price_labels(
     comes more than ``max_gap`` seconds after it, or when that one opens at 0.
     """
     priced = window_prices(events, candles, at, delay, span, event_id, base)
-    return _labels(priced, events.columns, at, max_gap, threshold)
+    return label_prices(priced, events.columns, at, max_gap, threshold)
 
 
-def _labels(
+def label_prices(
     priced: DataFrame, columns: Sequence[str], at: str, max_gap: int, threshold: float
 ) -> DataFrame:
+    """``columns`` and the three labels of rows with ``open_at, open, high, low, close``."""
     open_ = F.col("open")
     usable = F.coalesce((F.col("open_at") - F.col(at) <= max_gap) & (open_ != 0), F.lit(False))
     sources = dict(zip(LABELS, ("high", "close", "low")))
@@ -161,7 +162,7 @@ def labelled_articles(
         F.filter("window", lambda c: c["datetime"] > at + DELAY_S).alias("window"),
     )
     kept = [*once.columns, "volume_trend"]
-    labels = _labels(_prices(cut, kept), kept, "created", max_gap, threshold)
+    labels = label_prices(_prices(cut, kept), kept, "created", max_gap, threshold)
     dated = labels.withColumns(
         {
             "day_of_week": dates.day_of_week(F.col("created")),
