@@ -7,11 +7,14 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from filingspark.operators import features as N
 from filingspark.operators import flatten
+from filingspark.plans.market import HALF_DAY, _labels, _sql
 from filingspark.plans.proxies import Tables, sql
 from filingspark.plans.registry import query
 from filingspark.session import scratch
 from filingspark.sources import archives, feeds
+from filingspark.streaming import candles as live
 from filingspark.streaming import feeds as fed
 from filingspark.streaming import loads
 
@@ -131,3 +134,111 @@ def stream_dedupe(t: Tables):
     target = scratch(t.spark, "unique")
     loads.run_append(unique, target, scratch(t.spark, "state"))
     return t.spark.read.parquet(target)
+
+
+LATENESS = 600
+_CUT = 1704153600
+
+
+def _in_slices(t: Tables, feeds: dict[str, tuple[DataFrame, str]], edges: list[int], start) -> None:
+    """Land each feed's rows slice by slice of its time column, and run the stream after each.
+
+    ``start`` gets the landed streams by name. Every run is a restart that goes on from the
+    offsets and the state of the one before.
+    """
+    folders = {name: scratch(t.spark, name) for name in feeds}
+    for low, high in zip([None, *edges], [*edges, None]):
+        for name, (rows, time) in feeds.items():
+            at = F.col(time)
+            part = (at >= low if low is not None else F.lit(True)) & (at < high if high is not None else F.lit(True))
+            rows.where(part).write.mode("append").parquet(folders[name])
+        start({
+            name: loads.read_landed(t.spark, folders[name], rows.schema, 1_000_000)
+            for name, (rows, _) in feeds.items()
+        })
+
+
+def _thirds(rows: DataFrame, time: str) -> list[int]:
+    low, high = rows.agg(F.min(time), F.max(time)).first()
+    return [] if low is None else [low + (high - low) * i // 3 for i in (1, 2)]
+
+
+@query("stream_resample", sql(
+    f"""SELECT ticker, datetime // 1800 * 1800 AS datetime, arg_min(open, c.datetime) AS open, max(high) AS high,
+        min(low) AS low, arg_max(close, c.datetime) AS close, sum(volume)::BIGINT AS volume
+    FROM candles c GROUP BY 1, 2
+    HAVING c.datetime // 1800 * 1800 + 1800 <= (SELECT max(datetime) - {LATENESS} FROM candles)""", "candles"))
+def stream_resample(t: Tables):
+    """Half-hour candles of the closed windows, over three runs of the stream."""
+    candles = t.candles()
+    target, state = scratch(t.spark, "coarse"), scratch(t.spark, "state")
+
+    def run(streams):
+        coarse = live.resample_stream(streams["candles"], 30, f"{LATENESS} seconds")
+        loads.run_append(coarse, target, state)
+
+    _in_slices(t, {"candles": (candles, "datetime")}, _thirds(candles, "datetime"), run)
+    return t.spark.read.parquet(target)
+
+
+_CLOSED = f"""least((SELECT max(datetime) FROM candles), (SELECT max(created) FROM articles)) - {LATENESS + 86400 + 60}"""
+
+
+@query("stream_labels", _sql(
+    _labels(HALF_DAY), f"""SELECT id, ticker, created, max_gain_24, day_gain_24, max_loss_24 FROM labels
+    WHERE created < {_CLOSED}""", "articles", "candles"))
+def stream_labels(t: Tables):
+    """Labels of the articles whose day is over, over three runs of two joined streams."""
+    articles, candles = t.articles().select("id", "ticker", "created"), t.candles()
+    target, state = scratch(t.spark, "labels"), scratch(t.spark, "state")
+
+    def run(streams):
+        labels = live.label_stream(
+            streams["articles"], streams["candles"], f"{LATENESS} seconds", max_gap=HALF_DAY
+        )
+        loads.run_append(labels, target, state)
+
+    feeds = {"articles": (articles, "created"), "candles": (candles, "datetime")}
+    _in_slices(t, feeds, _thirds(candles, "datetime"), run)
+    last = F.least(candles.agg(F.max("datetime")).scalar(), articles.agg(F.max("created")).scalar())
+    found = t.spark.read.parquet(target).select("id", "ticker", "created", *N.LABELS)
+    return found.where(F.col("created") < last - (LATENESS + 86400 + 60))
+
+
+@query("stream_fresh", sql(
+    """SELECT a.id, a.ticker, a.created FROM articles a LEFT JOIN (SELECT ticker, max(created) AS latest
+    FROM articles WHERE created < 1704153600 GROUP BY 1) w ON w.ticker = a.ticker
+    WHERE a.created > coalesce(latest, 1577836800)""", "articles"))
+def stream_fresh(t: Tables):
+    """What three polls bring that is new, each of which brings all earlier rows again."""
+    articles = t.articles().select("id", "ticker", "created")
+    high = articles.agg(F.max("created")).first()[0] or _CUT
+    landed, target, state = (scratch(t.spark, n) for n in ("polls", "fresh", "state"))
+    store = t.spark.conf.get(live.STATE_STORE, None)
+    t.spark.conf.set(live.STATE_STORE, live.ROCKSDB)
+    try:
+        for until in (_CUT, (_CUT + high) // 2, high + 1):
+            articles.where(F.col("created") < until).write.mode("append").parquet(landed)
+            stream = loads.read_landed(t.spark, landed, articles.schema, 1_000_000)
+            loads.run_append(live.fresh_stream(stream, "ticker", "created", 1577836800), target, state)
+    finally:
+        if store is None:
+            t.spark.conf.unset(live.STATE_STORE)
+        else:
+            t.spark.conf.set(live.STATE_STORE, store)
+    return t.spark.read.schema(articles.schema).parquet(target).where(F.col("created") >= _CUT)
+
+
+@query("stream_dedupe_within", """SELECT DISTINCT user_id, event_type FROM events
+    WHERE ts < (SELECT min(ts) + INTERVAL 7 DAY FROM events)""")
+def stream_dedupe_within(t: Tables):
+    """Pairs of the first week, each once, with state that is dropped when it is ten days old."""
+    events = t["events"]
+    first = events.agg(F.min("ts").alias("first"))
+    week = events.join(F.broadcast(first), F.col("ts") < F.col("first") + F.expr("INTERVAL 7 DAY"))  # one row
+    landed, target = scratch(t.spark, "week"), scratch(t.spark, "unique")
+    week.select("user_id", "event_type", "ts").write.parquet(landed)
+    stream = loads.read_landed(t.spark, landed, "user_id long, event_type string, ts timestamp", 1_000_000)
+    unique = loads.dedupe_stream(stream, ["user_id", "event_type"], "ts", "10 days")
+    loads.run_append(unique.select("user_id", "event_type"), target, scratch(t.spark, "state"))
+    return t.spark.read.parquet(target)
