@@ -13,7 +13,7 @@ from filingspark.operators import text as X
 from filingspark.plans.proxies import Tables, sql
 from filingspark.plans.registry import query
 from filingspark.session import scratch
-from filingspark.sources import archives, feeds, tables as store
+from filingspark.sources import archives, feeds, tables as store, versions
 
 _FACT = """cik, "end"::VARCHAR AS "end", {val} AS val, accn, fy, fp, form, filed::VARCHAR AS filed, frame"""
 _SHARES = _FACT.format(val="CAST(trunc(quantity) AS BIGINT)")
@@ -213,6 +213,29 @@ def delete_rows(t: Tables):
     return K.delete_ids(kept, gone, "o_custkey").select("o_orderkey", "o_custkey", "o_orderstatus")
 
 
+@query("upsert_versioned", """SELECT user_id, max(event_id) AS event_id,
+    arg_max(event_type, event_id) AS event_type, arg_max(value, event_id) AS value
+    FROM events GROUP BY user_id""")
+def upsert_versioned(t: Tables):
+    """The same upsert into a stored table, of which only the touched buckets are written."""
+    rows = t["events"].select("user_id", "event_id", "event_type", "value")
+    first = K.last_wins(rows.where("event_type = 'view'"), ["user_id"], ["event_id"])
+    table = versions.create(first, scratch(t.spark, "users"), ["user_id"])
+    table.upsert(rows, ["event_id"])
+    return table.rows()
+
+
+@query("delete_versioned", """SELECT o_orderkey, o_custkey, o_orderstatus FROM orders
+    WHERE o_orderstatus <> 'F' AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 45)""")
+def delete_versioned(t: Tables):
+    """The same deletes, by ids and by condition, from a stored table."""
+    orders = t["orders"].select("o_orderkey", "o_custkey", "o_orderstatus")
+    table = versions.create(orders, scratch(t.spark, "orders"), ["o_orderkey"])
+    table.delete_where(F.col("o_orderstatus") == "F")
+    table.delete_ids(t["lineitem"].where("l_quantity > 45").select(F.col("l_orderkey").alias("o_orderkey")))
+    return table.rows()
+
+
 @query("point_lookup", "SELECT doc_id, text, lang, source, n_chars FROM documents WHERE doc_id = 42")
 def point_lookup(t: Tables):
     return Q.point_lookup(t["documents"], "doc_id", 42)
