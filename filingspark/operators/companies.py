@@ -54,6 +54,44 @@ def resolve_company(symbols: DataFrame, name: str) -> DataFrame:
     return symbols.where(F.col("title").contains(name)).select("cik_str", "title").distinct()
 
 
+def _grams(text: Column, size: Column) -> Column:
+    """The distinct substrings of ``size`` characters."""
+    starts = F.sequence(F.lit(1), F.greatest(F.length(text) - size + 1, F.lit(1)))
+    return F.array_distinct(F.transform(starts, lambda at: F.substr(text, at, size)))
+
+
+def resolve_companies(
+    symbols: DataFrame, names: DataFrame, name: str = "name", gram: int = 3, rows_per_task: int | None = None
+) -> DataFrame:
+    """``name, cik_str, title``: the companies whose title contains each of many names, case sensitive.
+
+    A title that contains a name has all its substrings, so each name looks only at the
+    titles that have its rarest one of ``gram`` characters (all of a shorter name), and a name
+    with a substring that no title has is done. Titles that share a frequent substring
+    are spread over tasks. NULL and empty names resolve to nothing.
+    """
+    asked = names.select(F.col(name).alias("name")).where("name <> ''").distinct()
+    titles = symbols.select("title").where("title is not null").distinct()
+    size = F.least(F.length("name"), F.lit(gram))
+    sizes = F.sequence(F.lit(1), F.least(F.length("title"), F.lit(gram)))
+    of_titles = titles.select(
+        "title", F.explode(F.flatten(F.transform(sizes, lambda n: _grams(F.col("title"), n)))).alias("gram")
+    )
+    of_names = asked.select("name", F.explode(_grams(F.col("name"), size)).alias("gram"))
+    wanted = of_names.select("gram").distinct()
+    met = spread_join(of_titles, wanted, ["gram"], "left_semi", ["title"], rows_per_task)
+    counts = met.groupBy("gram").agg(F.count("*").alias("_n"))
+    rarest = (
+        of_names.join(counts, "gram", "left").groupBy("name")
+        .agg(F.min_by("gram", F.struct("_n", "gram")).alias("gram"), F.count_if(F.col("_n").isNull()).alias("absent"))
+        .where("absent = 0").select("name", "gram")
+    )
+    near = spread_join(of_titles, rarest, ["gram"], "inner", ["title"], rows_per_task, counts)
+    found = near.where(F.col("title").contains(F.col("name"))).select("name", "title")
+    listed = symbols.select("title", "cik_str").distinct()
+    return spread_join(listed, found, ["title"], "inner", ["cik_str"], rows_per_task).select("name", "cik_str", "title")
+
+
 def resolved_ticker(tickers_json: Column) -> Column:
     """Letters of a JSON ticker list, run together."""
     return clean.letters_only(tickers_json)

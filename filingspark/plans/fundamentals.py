@@ -333,6 +333,19 @@ def resolve_company(t: Tables):
     return C.resolve_company(t.companies().withColumnRenamed("cik", "cik_str"), "00007")
 
 
+@query("resolve_companies", sql(
+    """, names AS (SELECT DISTINCT CASE WHEN c_custkey % 5 = 0 THEN right(c_name, 3) ELSE substr(c_name, 8, 11) END AS name
+        FROM customer WHERE c_custkey % 7 < 3 UNION SELECT 'r#' UNION SELECT 'nobody')
+    SELECT name, cik AS cik_str, title FROM names JOIN companies ON contains(title, name)""", "companies"))
+def resolve_companies(t: Tables):
+    """Names that are the end of a title, the middle of one, a part of all, or of none."""
+    own = t["customer"].where("c_custkey % 7 < 3").selectExpr(
+        "CASE WHEN c_custkey % 5 = 0 THEN right(c_name, 3) ELSE substr(c_name, 8, 11) END AS name"
+    )
+    others = t.spark.createDataFrame([("r#",), ("nobody",)], "name string")
+    return C.resolve_companies(t.companies().withColumnRenamed("cik", "cik_str"), own.unionByName(others))
+
+
 @query("company_dossier", sql(
     """, w AS (SELECT DISTINCT cik, ticker FROM companies)
     SELECT cik, 'meta' AS section, -1::BIGINT AS at, '{"cik":"' || cik || '","name":"' || title || '"}' AS item
