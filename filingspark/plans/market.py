@@ -442,6 +442,49 @@ def scaler(t: Tables):
     )
 
 
+@query("scaler_all", """WITH v AS (SELECT vec_id, vec_id % 5 = 0 AS held_out,
+        unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) - 1 AS dimension FROM embeddings),
+    f AS (SELECT dimension, avg(x) AS m, stddev_samp(x) AS s FROM v WHERE NOT held_out GROUP BY 1)
+    SELECT held_out, dimension::INTEGER AS dimension, round(avg((x - m) / s) + 0, 6) AS mean,
+        round(var_samp((x - m) / s), 6) AS variance, round(max((x - m) / s), 6) AS most
+    FROM v JOIN f USING (dimension) GROUP BY held_out, dimension""")
+def scaler_all(t: Tables):
+    """All dimensions after scaling fitted on four fifths of the vectors."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    held = (F.col("vec_id") % 5 == 0).alias("held_out")
+    rows = t["embeddings"].select(held, array_to_vector("embedding").alias("unit"))
+    fitted = model.scaler().fit(rows.where("not held_out"))
+    each = fitted.transform(rows).select("held_out", F.posexplode(vector_to_array("features")).alias("dimension", "x"))
+    return each.groupBy("held_out", "dimension").agg(
+        (F.round(F.avg("x"), 6) + 0.0).alias("mean"), F.round(F.var_samp("x"), 6).alias("variance"),
+        F.round(F.max("x"), 6).alias("most"),
+    )
+
+
+@query("price_model", _sql(
+    _FEATURES, """SELECT day_gain_24 AS truth, count(*) AS n, true AS judged FROM features
+    WHERE day_gain_24 IN (0, 1, 2) AND ('0x' || substr(md5('0' || ticker), 1, 8))::BIGINT % 100 >= 80
+    GROUP BY day_gain_24""", "articles", "candles", "screener"))
+def price_model(t: Tables):
+    """The price-move model, fitted on the titles of the feature table, on the held-out tickers.
+
+    A row per true class: its held-out rows, and whether the confusion rows of the model
+    account for all of them.
+    """
+    split = N.group_split(_features(t).select("id", "ticker", "title", "day_gain_24"), "ticker")
+    path = scratch(t.spark, "split")
+    split.write.parquet(path)  # read by every stage of the model
+    rows = t.spark.read.parquet(path)
+    fitted = model.fit_classifier(rows.where("split = 'train'"), "title", "day_gain_24", rounds=30)
+    judged = model.predict(fitted, rows.where("split = 'test'")).withColumn("prediction", F.col("prediction").cast("int"))
+    table = model.confusion(judged, "day_gain_24", "prediction")
+    return table.groupBy("truth").agg(
+        F.sum("n").alias("n"),
+        ((F.abs(F.sum("share") - 1) < 1e-9) & F.bool_and(F.col("prediction").isin(0, 1, 2))).alias("judged"),
+    )
+
+
 @query("classifier", sql(
     """SELECT CASE WHEN quality = 1 THEN 'good' ELSE 'poor' END AS truth, count(*) AS n, true AS better
     FROM labels JOIN documents USING (doc_id) WHERE doc_id % 5 = 0 GROUP BY truth"""))
