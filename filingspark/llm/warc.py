@@ -6,15 +6,25 @@ import hashlib
 import re
 import zlib
 from collections.abc import Iterator
+from io import BufferedReader
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from filingspark.llm.tables import stored
+from filingspark.sources.archives import filesystem
 
 END = "\r\n\r\n"
 ARCHIVE_BYTES = 64 << 20
+PIECE = 1 << 20
+FIRST_PIECE = 4 << 10
+START_BYTES = 1 << 10
+MOST_HEADER = 1 << 20
+ROWS = 10_000
+COPIES = 1000
+TYPES = (pa.int64(), pa.int64(), pa.string(), pa.bool_())
 RECORDS = "archive string, offset long, length long, digest string, sound boolean"
 
 
@@ -44,16 +54,22 @@ def block_is_sound(record: Column) -> Column:
 def laid_out(records: DataFrame, key: str, length: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Adds ``archive`` and ``offset``: records dealt over archives of about ``archive_bytes``.
 
-    The archive hangs on a hash of all columns of the record, the offset on the records
-    with lower keys in it, so the layout is the same in every run.
+    The archive hangs on a hash of all columns of the record and the number of its copy, the
+    offset on the records with lower keys in it, so the layout is the same in every run, and
+    many repeated rows go to many archives. Copies are counted before they travel.
     """
-    records = stored(records, "records")
+    columns = records.columns
+    counted = records.groupBy(*columns).agg((F.count("*") - 1).alias("_last"))
+    runs = counted.withColumn("_run", F.explode(F.sequence(F.lit(0), F.expr(f"_last div {COPIES}"))))
+    within = F.sequence(F.lit(0), F.least(F.lit(COPIES - 1), F.expr(f"_last - _run * {COPIES}L")))
+    numbered = runs.withColumn("_copy", F.explode(within)).withColumn("_copy", F.expr(f"_run * {COPIES}L + _copy"))
+    records = stored(numbered.select(*columns, "_copy"), "records")
     total = records.agg(F.sum(length)).first()[0] or 0
     archives = max(1, -(-total // archive_bytes))
     dealt = records.withColumn("archive", F.pmod(F.xxhash64(*records.columns), F.lit(archives)))
     rest = [c for c in records.columns if c != key]
     order = Window.partitionBy("archive").orderBy(key, *rest).rowsBetween(Window.unboundedPreceding, -1)
-    return dealt.withColumn("offset", F.coalesce(F.sum(length).over(order), F.lit(0)))
+    return dealt.withColumn("offset", F.coalesce(F.sum(length).over(order), F.lit(0))).drop("_copy")
 
 
 def write_files(laid: DataFrame, record: str, path: str) -> None:
@@ -62,53 +78,153 @@ def write_files(laid: DataFrame, record: str, path: str) -> None:
     ordered.select("archive", record).write.partitionBy("archive").option("lineSep", END).text(path)
 
 
-def _members(content: bytes) -> Iterator[tuple[int, int, bytes]]:
-    """``(offset, length, record)`` of a plain WARC file, or one with a gzip member per record."""
+class _Check:
+    """The digest of a record and whether its block is sound, from the record's bytes piece by piece."""
+
+    def __init__(self):
+        self.head, self.block, self.tail = b"", None, b""
+        self.whole = hashlib.sha256()
+
+    def feed(self, piece: bytes) -> None:
+        self.whole.update(piece)
+        if self.block is None:
+            self.head += piece
+            end = self.head.find(b"\r\n\r\n")
+            if end < 0:
+                if len(self.head) > MOST_HEADER:
+                    raise ValueError("no end of the header")
+                return
+            self.head, piece = self.head[:end], self.head[end + 4 :]
+            self.block = hashlib.sha256()
+        held = self.tail + piece
+        self.block.update(held[:-4])
+        self.tail = held[-4:]
+
+    def sound(self) -> bool:
+        declared = re.search(rb"(?i)\r\nWARC-Block-Digest: sha256:([0-9a-f]{64})", self.head)
+        ended = self.block is not None and self.tail == b"\r\n\r\n"
+        return bool(declared) and ended and self.block.hexdigest().encode() == declared[1].lower()
+
+
+def _pieces(file, start: int, stop: int) -> Iterator[bytes]:
+    """The bytes between two places; pieces start small, as most records are."""
+    size = FIRST_PIECE
+    while start < stop:
+        file.seek(start)
+        piece = file.read(min(size, stop - start))
+        if not piece:
+            return
+        start, size = start + len(piece), min(2 * size, PIECE)
+        yield piece
+
+
+def _packed(file, at: int, size: int) -> tuple[int, _Check] | None:
+    """The end of the gzip member at ``at`` and its record; None where it is damaged or cut off."""
+    member, check, end = zlib.decompressobj(wbits=31), _Check(), at
+    try:
+        for piece in _pieces(file, at, size):
+            end += len(piece)
+            while piece and not member.eof:
+                check.feed(member.decompress(piece, PIECE))
+                piece = member.unconsumed_tail
+            if member.eof:
+                return end - len(member.unused_data), check
+        check.feed(member.flush())
+        if member.eof:
+            return end - len(member.unused_data), check
+    except (zlib.error, ValueError):
+        pass
+    return None
+
+
+def _plain(file, at: int, size: int) -> tuple[int, _Check] | None:
+    """The end of the plain record at ``at``, by the length in its header; None without a whole record."""
+    head = b""
+    for piece in _pieces(file, at, min(size, at + MOST_HEADER)):
+        head += piece
+        if b"\r\n\r\n" in head:
+            break
+    end = head.find(b"\r\n\r\n")
+    length = re.search(rb"(?i)\r\nContent-Length: *(\d{1,18})\r\n", head[: end + 2]) if end >= 0 else None
+    stop = at + end + 4 + int(length[1]) + 4 if length and _starts(head[:START_BYTES]) else size + 1
+    if stop > size:
+        return None
+    file.seek(stop - 4)
+    if file.read(4) != b"\r\n\r\n":
+        return None
+    check = _Check()
+    for piece in _pieces(file, at, stop):
+        check.feed(piece)
+    return stop, check
+
+
+def _starts(first: bytes) -> bool:
+    """Whether a record starts with these bytes, plain or packed."""
+    if first[:3] == b"\x1f\x8b\x08":
+        try:
+            first = zlib.decompressobj(wbits=31).decompress(first, 64)
+        except zlib.error:
+            return False
+    return bool(re.match(rb"WARC/\d+\.\d+\r\n[A-Za-z-]+:", first))
+
+
+def _next_start(file, at: int, size: int) -> int:
+    """The first place after ``at`` where a record starts, or the end of the file."""
+    start, step = at + 1, FIRST_PIECE
+    while start < size:
+        file.seek(start)
+        held = file.read(step + START_BYTES)
+        for hit in re.finditer(rb"\x1f\x8b\x08|WARC/\d", held):
+            if hit.start() < step and _starts(held[hit.start() : hit.start() + START_BYTES]):
+                return start + hit.start()
+        start, step = start + step, min(2 * step, PIECE)
+    return size
+
+
+def records_of(file, size: int) -> Iterator[tuple[int, int, str, bool]]:
+    """``(offset, length, digest, sound)`` of every record of a seekable file, in pieces of ``PIECE`` bytes.
+
+    Records are plain or in a gzip member each. A record that is damaged (a broken or cut off
+    member, no length, a length that does not end at a record's end) reaches to the next place
+    where a record starts; its digest is over the bytes as they are, and it is not sound.
+    Nothing is read twice but what such a search passes over.
+    """
     at = 0
-    while at < len(content):
-        if content[at : at + 2] == b"\x1f\x8b":
-            member = zlib.decompressobj(wbits=31)
-            record = member.decompress(content[at:])
-            used = len(content) - at - len(member.unused_data)
+    while at < size:
+        file.seek(at)
+        found = (_packed if file.read(2) == b"\x1f\x8b" else _plain)(file, at, size)
+        if found is None:
+            stop, whole = _next_start(file, at, size), hashlib.sha256()
+            for piece in _pieces(file, at, stop):
+                whole.update(piece)
+            yield at, stop - at, whole.hexdigest(), False
         else:
-            head = content.find(b"\r\n\r\n", at)
-            size = re.search(rb"(?i)\r\nContent-Length: *(\d+)", content[at : head + 2]) if head >= 0 else None
-            used = head + 4 + int(size[1]) + 4 - at if size else len(content) - at
-            record = content[at : at + used]
-            used = len(record)
-        yield at, used, record
-        at += used
-
-
-def _sound(record: bytes) -> bool:
-    head, _, rest = record.partition(b"\r\n\r\n")
-    declared = re.search(rb"(?i)\r\nWARC-Block-Digest: sha256:([0-9a-f]{64})", head)
-    block = rest[:-4]
-    return bool(declared) and rest.endswith(b"\r\n\r\n") and hashlib.sha256(block).hexdigest().encode() == declared[1]
+            stop, check = found
+            yield at, stop - at, check.whole.hexdigest(), check.sound()
+        at = stop
 
 
 def read_files(files: DataFrame) -> DataFrame:
-    """The records of WARC files read with the ``binaryFile`` source: one row per record.
+    """The records of the WARC files ``path``: one row per record, damaged ones included.
 
-    ``digest`` is over the record's bytes, ``sound`` tells whether its block has the
-    declared digest. A task holds one file at a time; ``ARCHIVE_BYTES`` bounds those
-    that ``laid_out`` plans. What follows a record without a length is one record.
+    ``digest`` is over the record's bytes (unpacked, if it was packed), ``sound`` tells whether
+    its block has the declared digest. A task streams through a file in pieces and holds neither
+    the file nor a record; a header of more than ``MOST_HEADER`` bytes counts as damaged. Files
+    are dealt over the tasks one by one; NULL paths and empty files have no records.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in range(batch.num_rows):
-                path = batch.column("path")[row].as_py()
-                found = list(_members(batch.column("content")[row].as_py() or b""))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([path] * len(found), pa.string()),
-                        pa.array([f[0] for f in found], pa.int64()),
-                        pa.array([f[1] for f in found], pa.int64()),
-                        pa.array([hashlib.sha256(f[2]).hexdigest() for f in found], pa.string()),
-                        pa.array([_sound(f[2]) for f in found], pa.bool_()),
-                    ],
-                    names=["archive", "offset", "length", "digest", "sound"],
-                )
-
-    return files.select("path", "content").mapInArrow(run, RECORDS)
+            for path in filter(None, batch.column("path").to_pylist()):
+                store, inner = filesystem(path)
+                with store.open_input_file(inner) as raw:
+                    found = records_of(BufferedReader(raw, PIECE), raw.size())
+                    while rows := list(islice(found, ROWS)):
+                        columns = [pa.array(c, t) for c, t in zip(zip(*rows), TYPES)]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([path] * len(rows), pa.string()), *columns],
+                            names=["archive", "offset", "length", "digest", "sound"],
+                        )
+
+    paths = files.select("path")
+    return paths.repartition(max(1, paths.count())).mapInArrow(run, RECORDS)

@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import io
 import random
+import time
+import zlib
+from itertools import accumulate
 
 from pyspark.sql import functions as F
 
@@ -101,13 +105,98 @@ def test_files_round_trip(spark, tmp_path):
     assert got.where("not sound").count() == 0
 
 
+def _record(body, n=0):
+    head = f"WARC/1.1\r\nWARC-Record-ID: {n}\r\nWARC-Block-Digest: sha256:{hashlib.sha256(body).hexdigest()}\r\n"
+    return head.encode() + f"Content-Length: {len(body)}\r\n\r\n".encode() + body + b"\r\n\r\n"
+
+
+def _read(content):
+    return [(at, length, sound) for at, length, _, sound in warc.records_of(io.BytesIO(content), len(content))]
+
+
 def test_members_of_gzip_and_broken_files():
-    one, two = b"WARC/1.1\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n", b"WARC/1.1\r\nContent-Length: 0\r\n\r\n\r\n\r\n"
-    packed = gzip.compress(one) + gzip.compress(two)
-    assert [m[2] for m in warc._members(packed)] == [one, two]
-    assert [m[0] for m in warc._members(one + two)] == [0, len(one)]
-    assert [m[2] for m in warc._members(one + b"rest")] == [one, b"rest"]
-    assert list(warc._members(b"")) == []
+    one, two, three = _record(b"abc"), _record(b""), _record(b"line\r\n\r\nWARC/1.0 quoted" * 9)
+    plain = one + two + three
+    at = [0, len(one), len(one) + len(two), len(plain)]
+    assert _read(plain) == [(a, b - a, True) for a, b in zip(at, at[1:])]
+    packed = [gzip.compress(r) for r in (one, two, three)]
+    ends = [0, *accumulate(map(len, packed))]
+    assert _read(b"".join(packed)) == [(a, b - a, True) for a, b in zip(ends, ends[1:])]
+    digests = [d for _, _, d, _ in warc.records_of(io.BytesIO(b"".join(packed)), ends[-1])]
+    assert digests == [hashlib.sha256(r).hexdigest() for r in (one, two, three)]
+    assert _read(one + b"rest") == [(0, len(one), True), (len(one), 4, False)]
+    assert _read(one[:-6] + two) == [(0, len(one) - 6, False), (len(one) - 6, len(two), True)]
+    assert _read(b"junk" + one) == [(0, 4, False), (4, len(one), True)]
+    assert _read(one.replace(b"Length: 3", b"Length: 4") + two) == [(0, len(one), False), (len(one), len(two), True)]
+    assert _read(one.replace(b"abc", b"abd") + two) == [(0, len(one), False), (len(one), len(two), True)]
+    assert _read(b"") == []
+
+
+def test_every_flipped_byte_of_a_member_is_one_unsound_row():
+    packed = [gzip.compress(_record(f"body {i} {i * 7919}".encode(), i), mtime=0) for i in range(3)]
+    first, second = len(packed[0]), len(packed[0]) + len(packed[1])
+    for place in range(first, second):
+        content = bytearray(b"".join(packed))
+        content[place] ^= 0x41
+        got = _read(bytes(content))
+        sound = [r[0] for r in got if r[2]]
+        assert sound[0] == 0 and sound[-1] == second  # the neighbours are found as before
+        covered = sum(r[1] for r in got)
+        assert covered == len(content)
+    cut = b"".join(packed)[:-5]
+    assert _read(cut)[-1] == (second, len(cut) - second, False)
+
+
+def test_time_is_linear_in_the_members():
+    member = gzip.compress(_record(b"x" * 300))
+    content = member * 100_000
+    began = time.monotonic()
+    assert sum(sound for _, _, sound in _read(content)) == 100_000
+    assert time.monotonic() - began < 60
+
+
+def test_repeated_rows_go_to_many_archives(spark):
+    rows = spark.range(5000).selectExpr("1L as page_id", "100L as length")
+    laid = warc.laid_out(rows, "page_id", "length", archive_bytes=10_000)
+    assert laid.count() == 5000 and laid.select("archive", "offset").distinct().count() == 5000
+    assert laid.groupBy("archive").count().agg(F.max("count")).first()[0] < 300
+
+
+def _plainly(pages):
+    """Faults of the replicas, from the rules on the ids and each record's bytes."""
+    faults = []
+    for page_id, url, html in pages:
+        spun = zlib.crc32(str(page_id).encode())
+        body = (html or "").encode()
+        text = "\r\n".join([
+            "WARC/1.1", "WARC-Type: resource", f"WARC-Record-ID: <urn:page:{page_id}>",
+            f"WARC-Target-URI: {(url or '').replace(chr(13), '').replace(chr(10), '')}",
+            "WARC-Date: 1970-01-01T00:00:00Z", f"WARC-Block-Digest: sha256:{hashlib.sha256(body).hexdigest()}",
+            f"Content-Length: {len(body)}",
+        ]) + "\r\n\r\n" + (html or "") + "\r\n\r\n"
+        half = len(text) // 2
+
+        def fault(form):
+            head, _, rest = form.partition("\r\n\r\n")
+            digest = hashlib.sha256(rest[:-4].encode()).hexdigest()
+            sound = rest.endswith("\r\n\r\n") and f"\r\nWARC-Block-Digest: sha256:{digest}\r\n" in head + "\r\n"
+            return "odd" if sound else "corrupt"
+
+        if spun % 103 == 7:
+            faults.append((page_id, "b", "missing"))
+        elif spun % 97 == 3:
+            faults.append((page_id, "b", fault(text[:half] + "\0" + text[half + 1 :])))
+        if spun % 101 == 5:
+            faults.append((page_id, "c", fault(text[:half])))
+    return sorted(faults)
+
+
+def test_every_damaged_page_is_reported(spark):
+    rows = [(i, f"http://x/{i}", f"<p>{'é' * (i % 50)} {i}</p>" * (i % 9)) for i in range(3000)]
+    found = merkle.audit(merkle.page_replicas(_pages(spark, rows)), ["a", "b", "c"])
+    got = sorted((r["key"], r["replica"], r["fault"]) for r in found.collect())
+    want = _plainly(rows)
+    assert got == want and {w[2] for w in want} == {"missing", "corrupt", "odd"}
 
 
 def test_soundness(spark):
