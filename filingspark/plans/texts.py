@@ -7,12 +7,12 @@ import math
 from pyspark.sql import functions as F
 
 from filingspark.functions import vectors as V
-from filingspark.operators import ann
+from filingspark.operators import ann, entities, fuzzy
 from filingspark.operators import companies as C
 from filingspark.operators import similarity as S
 from filingspark.operators import stats
 from filingspark.operators import text as X
-from filingspark.plans.proxies import Tables, sql
+from filingspark.plans.proxies import CTE, Tables, sql
 from filingspark.plans.registry import query
 from filingspark.session import scratch
 from filingspark.sources import tables as store
@@ -123,6 +123,20 @@ def text_fuzzy(t: Tables):
     return X.text_match(t.dealt("documents"), ["text"], "thorest", fuzziness="AUTO").select("doc_id", "matched")
 
 
+@query("text_fuzzy_many", f"""WITH terms AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z0-9]{{9,}}')) AS term
+        FROM benchmark),
+    held AS (SELECT DISTINCT doc_id, unnest({_TOKENS}) AS word FROM documents),
+    near AS (SELECT word, term FROM (SELECT DISTINCT word FROM held) JOIN terms
+        ON length(word) BETWEEN length(term) - 2 AND length(term) + 2
+        AND levenshtein(regexp_replace(word, '[^\x00-\x7F]', '~', 'g'), term) <= 2)
+    SELECT doc_id, term, count(*) AS words FROM held JOIN near USING (word) GROUP BY doc_id, term""")
+def text_fuzzy_many(t: Tables):
+    """The long plain words of the benchmark texts; in the SQL, whose distance counts bytes, other letters are one byte."""
+    listed = F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9]{9,}"), F.lit(0))
+    terms = t["benchmark"].select(F.explode(listed).alias("term"))
+    return fuzzy.fuzzy_many(t.dealt("documents"), "doc_id", "text", terms)
+
+
 @query("text_search", f"""SELECT doc_id, matched FROM (SELECT doc_id, greatest(
     list_contains(w, 'nicht')::INTEGER + list_contains(w, 'src3')::INTEGER, (source = 'src3')::INTEGER) AS matched
     FROM (SELECT doc_id, source, {_TOKENS} AS w FROM documents)) WHERE matched >= 1""")
@@ -176,6 +190,29 @@ def mentions(t: Tables):
     return X.mentions(t.dealt("documents"), "doc_id", "text", t.gazetteer(), max_words=2)
 
 
+_PUNCTUATED = r"[\p{L}\p{N}]+, [\p{L}\p{N}]+"
+
+
+@query("named_mentions", "WITH names AS (" + CTE["gazetteer"].split("UNION ALL")[0] + rf"""
+        UNION ALL SELECT DISTINCT unnest(regexp_extract_all(lower(text), '{_PUNCTUATED}')), 'LIST' FROM benchmark),
+    """ + _MENTIONS.split("spans AS (")[0] + r"""spans AS (
+        SELECT doc_id, run AS text, CAST(stop AS INTEGER) AS "end" FROM placed
+        UNION ALL SELECT doc_id, run || ', ' || after, CAST(stop + 2 + length(after) AS INTEGER) FROM placed
+        WHERE gap = ', '),
+    found AS (SELECT doc_id, s.text, n.label, ("end" - length(s.text))::INTEGER AS start, "end"
+        FROM spans s JOIN names n ON n.name = lower(s.text))
+    SELECT doc_id, sha256(doc_id || '|' || start || '|' || "end") AS mention_id, text, label, start, "end" FROM (
+        SELECT *, max("end") OVER (PARTITION BY doc_id ORDER BY start, "end" DESC
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached FROM found)
+    WHERE reached IS NULL OR "end" > reached""")
+def named_mentions(t: Tables):
+    """Long words, and neighbours with a comma between them, of the benchmark texts."""
+    listed = t["benchmark"].select(F.lower("text").alias("text"))
+    commas = listed.select(F.explode(F.regexp_extract_all("text", F.lit(_PUNCTUATED), F.lit(0))).alias("name"))
+    names = t.gazetteer().where("label = 'TERM'").unionByName(commas.withColumn("label", F.lit("LIST")))
+    return entities.named_mentions(t.dealt("documents"), "doc_id", "text", names)
+
+
 @query("entity_pairs", sql("", "gazetteer").rstrip() + ",\n" + _MENTIONS + """
     SELECT doc_id, sha256(doc_id || '|' || start || '|' || "end") AS head_id,
         sha256(doc_id || '|' || n.start || '|' || n."end") AS tail_id,
