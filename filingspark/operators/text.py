@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from filingspark.functions import clean, vectors
+from filingspark.functions.folds import fold_emitting, let
 from filingspark.operators.keys import spread_join
 
 ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
@@ -73,32 +74,42 @@ def html_text(pages: DataFrame, key: str, html: str) -> DataFrame:
     return pages.select(key, F.posexplode(html_strings(F.col(html))).alias("pos", "text"))
 
 
-HEADER_ROW = "array<struct<path:string,level:int,key:string,value:string>>"
-
-
-def header_rows(block: str | None) -> list[dict] | None:
-    """The rows of one header block, in one pass over its lines."""
-    if block is None:
-        return None
-    rows: list[dict] = []
-    above: list[tuple[int, str]] = []
-    seen: dict[tuple[str, str], int] = {}
-    for line in re.split(r"\r?\n", block):
-        if ":" not in line:
-            continue
-        level = len(line) - len(line.lstrip("\t"))
-        cells = line[level:].split("\t")
-        name = cells[0].replace(":", "").strip(" ")
-        while above and above[-1][0] >= level:
-            above.pop()
-        parent = "/".join(key for _, key in above)
-        earlier = seen.get((parent, name), 0)
-        seen[parent, name] = earlier + 1
-        key = f"{name}{earlier + 1}" if earlier and "FORMER COMPANY" in name else name
-        above.append((level, key))
-        value = cells[-1] if len(cells) > 1 else ""
-        rows.append({"path": f"{parent}/{key}" if parent else key, "level": level, "key": key, "value": value})
-    return rows
+HEADER_ROW = "struct<path:string,level:int,key:string,value:string>"
+_LEVELS = "array<struct<level:int,key:string>>"
+
+
+def _header_lines(block: Column) -> Column:
+    """``level, name, value`` of the lines with a colon; leading tabs give the level."""
+
+    def line(text: Column) -> Column:
+        level = F.length(F.regexp_extract(text, r"^\t*", 0))
+        return let(
+            F.struct(level.alias("level"), F.split(F.substring(text, level + 1, F.length(text)), "\t").alias("cells")),
+            lambda l: F.struct(
+                l["level"].alias("level"),
+                F.trim(F.replace(F.get(l["cells"], F.lit(0)), F.lit(":"), F.lit(""))).alias("name"),
+                F.when(F.size(l["cells"]) > 1, F.element_at(l["cells"], -1)).otherwise("").alias("value"),
+            ),
+        )
+
+    return F.transform(F.filter(F.split(block, r"\r?\n"), lambda text: text.contains(":")), line)
+
+
+def _header_step(state: Column, line: Column) -> tuple[Column, Column]:
+    """One line: the open levels above it, the former companies so far, and its row."""
+    above = F.filter(state["above"], lambda a: a["level"] < line["level"])
+    parent = F.array_join(F.transform(above, lambda a: a["key"]), "/")
+    tag = F.concat(parent, F.lit("\n"), line["name"])
+    former = line["name"].contains("FORMER COMPANY")
+    earlier = F.size(F.filter(state["seen"], lambda s: s == tag))
+    key = F.when(former & (earlier > 0), F.concat(line["name"], (earlier + 1).cast("string"))).otherwise(line["name"])
+    opened = F.array(F.struct(line["level"].alias("level"), key.alias("key")))
+    row = F.struct(
+        F.when(parent != "", F.concat(parent, F.lit("/"), key)).otherwise(key).alias("path"),
+        line["level"].alias("level"), key.alias("key"), line["value"].alias("value"),
+    )
+    seen = F.when(former, F.concat(state["seen"], F.array(tag))).otherwise(state["seen"])
+    return F.struct(F.concat(above, opened).alias("above"), seen.alias("seen")), F.array(row)
 
 
 def header_tree(text: Column) -> Column:
@@ -108,22 +119,18 @@ def header_tree(text: Column) -> Column:
     with a smaller one. A repeated FORMER COMPANY below the same parent is
     numbered from 2. The tagged header block is read where there is one, else
     the whole text if it has a key on a line indented by tabs; other texts have no
-    rows. Only header blocks are handed to Python.
+    rows. A fold over the lines carries the levels that are open.
     """
-
-    @F.pandas_udf(HEADER_ROW)
-    def rows(blocks: pd.Series) -> pd.Series:
-        return blocks.map(header_rows)
-
     block = F.regexp_extract(text, r"(?is)<SEC-HEADER>(.*?)</SEC-HEADER>", 1)
     bare = F.when(text.rlike(r"(?m)^\t+[^\t\n:]+:"), text)
-    return rows(F.coalesce(F.when(block != "", block), bare, F.lit("")))
+    start = F.struct(F.array().cast(_LEVELS).alias("above"), F.array().cast("array<string>").alias("seen"))
+    lines = _header_lines(F.coalesce(F.when(block != "", block), bare, F.lit("")))
+    return let(lines, lambda found: fold_emitting(found, start, _header_step, HEADER_ROW)["out"])
 
 
 def sgml_header(df: DataFrame, key: str, text: str) -> DataFrame:
-    return df.select(key, F.posexplode(header_tree(F.col(text))).alias("pos", "_r")).select(
-        key, "pos", "_r.*"
-    )
+    rows = F.posexplode_outer(header_tree(F.col(text))).alias("pos", "_r")
+    return df.select(key, rows).where("pos is not null").select(key, "pos", "_r.*")
 
 
 def clean_filings(raw: DataFrame, content: str = "rawContent") -> DataFrame:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 import tracemalloc
 
 import numpy as np
@@ -79,6 +80,41 @@ def test_recursive_prefers_coarse_cuts():
     assert X.split_text("", 5) == [] and X.split_text("abcdef", 4) == ["abcd", "ef"]
 
 
+def test_header_runs_without_python(spark):
+    out = X.sgml_header(docs(spark, "a b\n\tX:\t1"), "id", "text")
+    assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def _header_rows(block):
+    """The rows of a header block by a plain loop."""
+    rows, above, seen = [], [], {}
+    for line in re.split(r"\r?\n", block):
+        if ":" not in line:
+            continue
+        level = len(line) - len(line.lstrip("\t"))
+        cells = line[level:].split("\t")
+        name = cells[0].replace(":", "").strip(" ")
+        above = [a for a in above if a[0] < level]
+        parent = "/".join(key for _, key in above)
+        seen[parent, name] = seen.get((parent, name), 0) + 1
+        key = f"{name}{seen[parent, name]}" if seen[parent, name] > 1 and "FORMER COMPANY" in name else name
+        above.append((level, key))
+        rows.append((f"{parent}/{key}" if parent else key, level, key, cells[-1] if len(cells) > 1 else ""))
+    return rows
+
+
+def test_header_against_a_plain_loop(spark):
+    rng = random.Random(5)
+    names = ["A:", "B C:", "FORMER COMPANY:", " FORMER COMPANY : x", "none", ":", "", "D:\t\t1", "E:\tv:w\t2"]
+    blocks = [
+        rng.choice(["\n", "\r\n"]).join("\t" * rng.randrange(4) + rng.choice(names) for _ in range(rng.choice([1, 8, 2500])))
+        for _ in range(30)
+    ]
+    df = docs(spark, *[f"<SEC-HEADER>{b}</SEC-HEADER>" for b in blocks])
+    got = df.select("id", X.header_tree(F.col("text")).alias("rows")).orderBy("id").collect()
+    assert [[tuple(r) for r in row.rows] for row in got] == [_header_rows(b) for b in blocks]
+
+
 def test_match(spark):
     df = docs(spark, "The quick fox", "quick dogs", "lazy", "Quikc").withColumn("title", F.lit("Fox news"))
     ids = lambda **k: sorted(r.id for r in X.text_match(df, ["text"], **k).collect())
