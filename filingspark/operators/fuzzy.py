@@ -83,7 +83,9 @@ def near_words(words: DataFrame, terms: DataFrame, fuzziness: str = "AUTO") -> D
     """
     edits = 2 if fuzziness == "AUTO" else int(fuzziness)
     asked = terms.where("term <> ''").withColumn("edits", edits_allowed(F.col("term"), fuzziness))
-    words = words.where("word <> ''")
+    shortest, longest = asked.agg(F.min(F.length("term")), F.max(F.length("term"))).first()
+    reached = F.length("word").between((shortest or 0) - edits, (longest or 0) + edits)
+    words = words.where("word <> ''").where(reached)
     short, long = asked.where(F.length("term") <= SHORT_TERM), asked.where(F.length("term") > SHORT_TERM)
     held = ["word", "term", "edits"]
     met = _near_short(words, short, edits).select(held).union(_near_long(words, long, edits).select(held)).distinct()
