@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from filingspark.llm import crc
+from filingspark.llm.memory import tidy
 from filingspark.llm.shingles import slices
 from filingspark.llm.tables import stored, task_count
 
@@ -120,7 +121,7 @@ def bucket_counts(texts: DataFrame, longest: int = LONGEST, buckets: int = BUCKE
     Features are all runs of 1 to ``longest`` words, repeats counted; a NULL or empty
     text has none. Each task sends its own sums only.
     """
-    parts = texts.select("text").mapInArrow(_counted(longest, buckets), "bucket long, n long")
+    parts = texts.select("text").mapInArrow(tidy(_counted(longest, buckets)), "bucket long, n long")
     return parts.groupBy("bucket").agg(F.sum("n").alias("n"))
 
 
@@ -177,7 +178,7 @@ def weights(docs: DataFrame, gain: DataFrame, longest: int = LONGEST, buckets: i
         table[bucket] = value
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
-        _weighed(table, longest), f"doc_id {kind}, n_words long, n_features long, weight long"
+        tidy(_weighed(table, longest)), f"doc_id {kind}, n_words long, n_features long, weight long"
     )
 
 
