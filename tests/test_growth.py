@@ -48,6 +48,58 @@ def test_runs_of_an_archive_with_wide_offsets(tmp_path, monkeypatch):
     assert [row for run in runs for row in archives._read_run(path, *run)] == [(f"e{i}", str(i)) for i in range(9)]
 
 
+def test_unusual_entries_are_read(tmp_path):
+    path = str(tmp_path / "a.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+        out.writestr("plain", "1" * 99, zipfile.ZIP_STORED)
+        out.writestr("\u00e9\u4e2d.json", '{"a": "\u00e9"}')
+        out.writestr("folder/", "")
+        out.writestr("folder/placeholder.txt", "no")
+        out.writestr("none", "")
+    want = [("plain", "1" * 99), ("\u00e9\u4e2d.json", '{"a": "\u00e9"}'), ("none", "")]
+    assert [row for run in archives._runs(path, 1) for row in archives._read_run(path, *run)] == want
+    with zipfile.ZipFile(path, "a", zipfile.ZIP_BZIP2) as out:
+        out.writestr("bz", "2" * 99)
+    found = [row for run in archives._runs(path, 10**6) for row in archives._read_run(path, *run)]
+    assert found == [*want, ("bz", "2" * 99)]
+
+
+def test_a_damaged_entry_is_an_error(tmp_path):
+    path = tmp_path / "a.zip"
+    with zipfile.ZipFile(path, "w") as out:
+        out.writestr("a", "12345")
+    path.write_bytes(path.read_bytes().replace(b"12345", b"12346"))
+    with pytest.raises(zipfile.BadZipFile):
+        [row for run in archives._runs(str(path), 10) for row in archives._read_run(str(path), *run)]
+
+
+@pytest.mark.parametrize("count", [0, 5, 70_000])
+def test_packed_archives_are_read_by_zipfile(tmp_path, count):
+    entries = [(f"n\u00e9{i}" if i % 2 else f"n{i}", "x\u00e9" * (i % 50)) for i in range(count)]
+    with open(tmp_path / "a.zip", "wb") as out:
+        assert archives._pack(out, ((n.encode(), c.encode()) for n, c in entries)) == count
+    with zipfile.ZipFile(tmp_path / "a.zip") as found:
+        assert found.testzip() is None
+        assert [(i.filename, found.read(i).decode()) for i in found.infolist()] == entries
+
+
+def test_waves_hold_some_archives_at_a_time(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(archives, "WAVE_BYTES", 1)
+    ids = spark.range(2000).repartition(100, "id")
+    df = ids.select(F.col("id").cast("string").alias("entry"), F.repeat(F.lit("x"), F.col("id").cast("int") % 9).alias("content"))
+    made, rows, most = set(), [], 0
+    for wave in archives.write_waves(df, str(tmp_path / "z")):
+        assert not made & set(wave)
+        made |= set(wave)
+        most = max(most, len(list((tmp_path / "z").glob("*.zip"))))
+        rows += archives.zip_scan(spark, wave).select("entry", "content").collect()
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, df.collect()))
+    assert len(made) > 50 and most <= 4 * spark.sparkContext.defaultParallelism
+    assert not list((tmp_path / "z").glob("*"))
+    waves = archives.write_waves(df.where("false"), str(tmp_path / "none"))
+    assert [archives.zip_scan(spark, wave).count() for wave in waves] == [0]
+
+
 def test_no_archive_is_an_error(tmp_path):
     (tmp_path / "a.zip").write_bytes(b"not an archive" * 9)
     with pytest.raises(zipfile.BadZipFile):
