@@ -89,3 +89,24 @@ def test_skip_and_fresh(spark):
     assert loads.skip_loaded(batch, batch.where("accn = 'a'")).count() == 1
     marks = spark.createDataFrame([("a", 5), ("b", 0)], "accn string, latest int")
     assert sorted(map(tuple, loads.fresh_rows(batch, marks, "accn", "t").collect())) == [("a", 7), ("b", 1)]
+
+
+def test_one_landed_file_is_read_by_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(loads, "GROUP_BYTES", 1 << 16)
+    source, before = str(tmp_path / "in"), spark.conf.get(loads.SPLIT)
+    rows = spark.range(0, 50_000, 1, 1).select(F.sha2(F.col("id").cast("string"), 512).alias("v"))
+    loads.land(rows, source)
+    loads.land(rows.limit(7), source, mode="append")
+    seen = []
+
+    def load(batch, _):
+        seen.append((batch.rdd.getNumPartitions(), batch.count()))
+
+    monkeypatch.setattr(loads, "GROUP_BYTES", 1 << 20)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        loads.run_available(loads.read_landed(spark, source, "v string", 8), str(tmp_path / "state"), load)
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [n for _, n in seen] == [50_007] and seen[0][0] > 2
+    assert spark.conf.get(loads.SPLIT) == before
