@@ -110,3 +110,20 @@ def test_one_landed_file_is_read_by_many_tasks(spark, tmp_path, monkeypatch):
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert [n for _, n in seen] == [50_007] and seen[0][0] > 2
     assert spark.conf.get(loads.SPLIT) == before
+
+
+def test_batches_are_kept_on_disk_and_stored_keys_are_not_broadcast(spark, tmp_path, monkeypatch):
+    seen, whole = [], loads.K.insert_ignore
+
+    def spy(stored, rows, *how):
+        new = whole(stored, rows, *how)
+        seen.append((rows.storageLevel, new._jdf.queryExecution().executedPlan().toString()))
+        return new
+
+    monkeypatch.setattr(loads.K, "insert_ignore", spy)
+    load = loads.insert_ignore_batches(str(tmp_path / "t"), ["k"], ["seq"])
+    for number in range(2):
+        load(spark.createDataFrame([(1, "a", 1), (number, "b", 2)], SCHEMA), number)
+    assert all(level.useDisk and not level.useMemory for level, _ in seen) and len(seen) == 2
+    assert all("SortMergeJoin" in plan and "BroadcastHashJoin" not in plan for _, plan in seen[1:])
+    assert sorted(r.k for r in loads.loaded(spark, str(tmp_path / "t")).collect()) == [0, 1]
